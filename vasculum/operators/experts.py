@@ -75,7 +75,9 @@ def integrate_expert(
     matched = (F.col("_experts") > 0) & (F.col("_masters") > 0)
     alone = sided.filter(~matched).drop(*sides)
     pairs = sided.filter(matched).drop(*sides)
-    patches = merge_group(pairs, EXPERT_KEYS, rank, R.expert_patch(with_coordinates))
+    patches = merge_group(
+        pairs, EXPERT_KEYS, [*rank, F.col("barcode")], R.expert_patch(with_coordinates)
+    )
     targets = pairs.filter(F.col("origin") == "MASTER")
     patched = apply_patches(targets, patches)
     return (
