@@ -138,12 +138,11 @@ def resolve_collectors(df: DataFrame, botanists: DataFrame, order: list[str]) ->
     candidates = candidates.withColumn("_given", first_given).withColumn(
         "_vote", F.exists(label, lambda t: F.contains(F.col("_given"), t))
     )
-    words = F.struct(F.size(F.split("name", " ")), F.length("name"), F.col("name"))
+    words = F.struct(F.size(F.split("name", " ")), F.length("name"), F.col("name"), F.col("link_id"))
     details = ["dobirth", "dodeath", "geo_col", "wiki_url"]
     # Entries of one person, under the longest name; gaps are filled from the others.
     persons = candidates.groupBy("recorded_by", "col_year", "_comma", "_vote", "_surname", "_given").agg(
         F.max_by("name", words).alias("name"),
-        F.max(words).alias("_words"),
         F.count(F.lit(1)).alias("_entries"),
         *[F.max_by(c, F.when(F.col(c).isNotNull(), words)).alias(c) for c in details],
     )
