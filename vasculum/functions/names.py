@@ -70,20 +70,28 @@ def first_collector(c: Column, junior: str = JUNIOR_MARK) -> Column:
 def standardise_name(c: Column) -> Column:
     """`Surname, INITIALS [particle]`; null for a name that fits no known form."""
 
-    def read(rules):
+    def read(name: Column, rules) -> Column:
         return F.coalesce(
             *[
-                F.when(c.rlike(rf"(?U)^{rule}\z"), F.trim(F.regexp_replace(c, rf"(?U)^{rule}\z", out)))
+                F.when(
+                    name.rlike(rf"(?U)^{rule}\z"),
+                    F.trim(F.regexp_replace(name, rf"(?U)^{rule}\z", out)),
+                )
                 for rule, out in rules
             ]
         )
 
-    # The head of the name decides which few rules can apply at all.
-    return (
-        F.when(c.rlike(f"^{CAPITAL}{SMALL}+,"), read(_SURNAME_COMMA + _SURNAME_INITIALS))
-        .when(c.rlike(f"^{CAPITAL}{SMALL}"), read(_SURNAME_INITIALS + _GIVEN_SURNAME))
-        .otherwise(read(_INITIALS_SURNAME))
-    )
+    def standard(name: Column) -> Column:
+        # The head of the name decides which few rules can apply at all.
+        return (
+            F.when(name.rlike(f"^{CAPITAL}{SMALL}+,"), read(name, _SURNAME_COMMA + _SURNAME_INITIALS))
+            .when(name.rlike(f"^{CAPITAL}{SMALL}"), read(name, _SURNAME_INITIALS + _GIVEN_SURNAME))
+            .otherwise(read(name, _INITIALS_SURNAME))
+        )
+
+    # The lambda binds the name once: the optimiser would otherwise repeat its whole
+    # expression for every rule and outgrow the limits of generated code.
+    return F.transform(F.array(c), standard)[0]
 
 
 def surname(c: Column) -> Column:

@@ -72,13 +72,14 @@ def _deduplicate(
     merge_order: list[Column], fill: bool, masked: bool, lookup: dict[str, Column] | None = None,
 ) -> Deduplicated:
     shared = [k for k in keys if k in GATHERING_KEYS] if fill else list(keys)
-    usual, hot, _ = split_hot(df, shared)
+    # All windows and the merge use supersets of `shared`, so ordinary rows move once.
+    # Without shared keys every step finds its own layout.
+    usual, hot, _ = split_hot(df, shared) if shared else (None, df, None)
     spread = {"_var_" + c: variance(c) for c in COORDINATES} if fill else {}
     results = []
     for rows, in_place in ((usual, True), (hot, False)):
         if rows is None:
             continue
-        # All windows and the merge use supersets of `shared`, so ordinary rows move once.
         laid_out = rows.repartition(*shared) if in_place else rows
         ready = _reconcile(laid_out, keys, order, in_place, fill, masked)
         if lookup:

@@ -55,9 +55,11 @@ def clear_names_of_indets(df: DataFrame) -> DataFrame:
 
 
 def drop_artefacts(df: DataFrame) -> DataFrame:
-    """Drop rows that hold one and the same value in every filled cell."""
-    cells = F.array_compact(F.array(*[F.col(c).cast("string") for c in df.columns]))
-    return df.filter(F.size(F.array_distinct(cells)) != 1)
+    """Drop rows that hold one and the same value in every filled cell. Write the result
+    out before deriving many columns from it: the optimiser carries a condition over
+    all columns through every later projection."""
+    cells = [F.col(c).cast("string") for c in df.columns]
+    return df.filter(~F.coalesce(F.least(*cells) == F.greatest(*cells), F.lit(False)))
 
 
 def flag_expert(df: DataFrame, expert_file: bool) -> DataFrame:
