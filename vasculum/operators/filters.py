@@ -55,11 +55,15 @@ def clear_names_of_indets(df: DataFrame) -> DataFrame:
 
 
 def drop_artefacts(df: DataFrame) -> DataFrame:
-    """Drop rows that hold one and the same value in every filled cell. Write the result
-    out before deriving many columns from it: the optimiser carries a condition over
-    all columns through every later projection."""
+    """Drop rows that hold one and the same value in every filled cell.
+
+    The row id makes the condition one that the optimiser leaves where it is: it would
+    otherwise rewrite a condition over all columns for every combination of the columns
+    derived from them later, which takes for ever.
+    """
     cells = [F.col(c).cast("string") for c in df.columns]
-    return df.filter(~F.coalesce(F.least(*cells) == F.greatest(*cells), F.lit(False)))
+    varied = ~F.coalesce(F.least(*cells) == F.greatest(*cells), F.lit(False))
+    return df.filter(F.when(F.monotonically_increasing_id() >= 0, varied))
 
 
 def flag_expert(df: DataFrame, expert_file: bool) -> DataFrame:
