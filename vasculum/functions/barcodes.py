@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from vasculum.functions.nulls import blank_to_null
+from vasculum.functions.nulls import bind, blank_to_null
 from vasculum.schema import DEFAULT_SEPARATOR
 
 # Forms of the code itself, forms of the acronym before it, both in
@@ -44,13 +44,24 @@ def standard_barcode(
 ) -> Column:
     """Acronym and code. `fallbacks` are tried in turn for the acronym when the
     barcode has none; null means the record has no usable barcode."""
-    code = blank_to_null(F.regexp_extract(barcode, "(?U)(" + "|".join(CODE_FORMS) + ")", 1))
-    own = [blank_to_null(F.regexp_extract(barcode, f"({form})", 1)) for form in ACRONYM_FORMS]
-    acronym = F.coalesce(*own, *fallbacks, F.lit(""))
-    for written, meant in ACRONYM_CORRECTIONS.items():
-        acronym = F.when(acronym == written, F.lit(meant)).otherwise(acronym)
-    full = F.when(code.rlike("[A-Z]"), code).otherwise(F.concat(acronym, code))
-    return F.when(~full.rlike(EMPTY_CODE), full) if zero_is_missing else full
+    def assemble(text: Column) -> Column:
+        own = [F.regexp_extract(text, f"({form})", 1) for form in ACRONYM_FORMS]
+        # No match is empty text: the first that is not empty counts.
+        acronym = F.lit("")
+        for candidate in reversed([*own, *[F.coalesce(f, F.lit("")) for f in fallbacks]]):
+            acronym = F.when(candidate != "", candidate).otherwise(acronym)
+        code = F.regexp_extract(text, "(?U)(" + "|".join(CODE_FORMS) + ")", 1)
+        return F.struct(F.trim(code).alias("code"), F.trim(acronym).alias("acronym"))
+
+    def complete(parts: Column) -> Column:
+        code, acronym = parts["code"], parts["acronym"]
+        for written, meant in ACRONYM_CORRECTIONS.items():
+            acronym = F.when(acronym == written, F.lit(meant)).otherwise(acronym)
+        full = F.when(code.rlike("[A-Z]"), code).otherwise(F.concat(acronym, code))
+        missing = (code == "") | (full.rlike(EMPTY_CODE) if zero_is_missing else F.lit(False))
+        return F.when(~missing, full)
+
+    return bind(bind(barcode, assemble), complete)
 
 
 def gbif_barcode(barcode: Column, institute: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from vasculum.functions.nulls import blank_to_null
+from vasculum.functions.nulls import bind, blank_to_null
 
 # Text removed from, and marks that separate people in, a collector cell.
 NOISE_BEFORE = ["Collector(s):", "Unknown"]
@@ -89,9 +89,7 @@ def standardise_name(c: Column) -> Column:
             .otherwise(read(name, _INITIALS_SURNAME))
         )
 
-    # The lambda binds the name once: the optimiser would otherwise repeat its whole
-    # expression for every rule and outgrow the limits of generated code.
-    return F.transform(F.array(c), standard)[0]
+    return bind(c, standard)
 
 
 def surname(c: Column) -> Column:

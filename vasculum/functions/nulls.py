@@ -7,6 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from vasculum.schema import NULL_NUMBER, NULL_TEXT
 
 
+def bind(c: Column, use) -> Column:
+    """`use(c)`, with `c` evaluated once. For long expressions that use a value many
+    times: the optimiser would repeat the value's own expression at every place and
+    outgrow the limits of generated code."""
+    return F.transform(F.array(c), use)[0]
+
+
 def blank_to_null(c: Column) -> Column:
     """Empty text (what a regular expression yields on no match) to null."""
     return F.nullif(F.trim(c), F.lit(""))

@@ -80,7 +80,7 @@ def conform(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFram
             value = F.nullif(value.cast("string").try_cast("double").try_cast("int"), F.lit(0))
             value = F.when(value > 0, value)
         else:
-            value = text_or_null(value.cast("string"))
+            value = value.cast("string")
         out.append(value.alias(name))
     return df.select(*out, *[c for c in keep if c in df.columns and c not in columns])
 
