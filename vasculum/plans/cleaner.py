@@ -158,4 +158,4 @@ def clean_expert(
         if areas is not None and "ddlat" in out.columns:
             out = out.withColumns({c: F.col(c).try_cast("double") for c in ("ddlat", "ddlong")})
             out = fill_missing_country(out, areas, countries)
-    return conform_expert(out, ["record_id"])
+    return materialise(conform_expert(out, ["record_id"]))

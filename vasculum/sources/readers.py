@@ -9,6 +9,7 @@ from vasculum.functions.nulls import text_or_null
 from vasculum.functions.numbers import split_colnum
 from vasculum.functions.values import compose_date, degrees, year_month_day
 from vasculum.operators.experts import synthetic_barcodes
+from vasculum.operators.groups import materialise
 from vasculum.schema import (
     EXPERT_COLUMNS, MASTER_COLUMNS, RAW_COLUMNS, SOURCES, SourceSpec, column_type,
 )
@@ -119,7 +120,8 @@ def read_expert(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     raw = with_record_id(read_delimited(spark, path, ";"), "specialist")
     if "barcode" not in raw.columns:
         raw = raw.withColumn("barcode", F.lit(None).cast("string"))
-    derived = expert_columns(raw)
+    # Both outputs, and all that follows, start from this.
+    derived = materialise(expert_columns(raw))
     good = derived.filter(F.col("recorded_by").isNotNull())
     bad = derived.filter(F.col("recorded_by").isNull())
     return synthetic_barcodes(good, ["record_id"]), bad
