@@ -12,7 +12,7 @@ import workload
 
 HEADLINE = [
     "colnum_gbif", "barcode_gbif", "names_standard", "dup_stats", "crossfill_coordinates",
-    "newest_determination", "merge_raw", "dedup_numbered", "master_unnumbered", "premerge",
+    "newest_determination", "dedup_numbered", "premerge",
     "expert_by_number", "resolve_taxa", "locate", "nearest_coast",
 ]
 
