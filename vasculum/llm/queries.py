@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vasculum.llm import language, minhash, packing, quality
+from vasculum.llm import divergence, dropout, html_text, language, lattice, licences, minhash, packing, preferences, quality
 
 #: Parameters of the queries.
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PACK_LENGTH = 1024
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+DROP_RATE, DROP_SEED = 0.1, 2_024
+#: Conversations that exchange their answers with each other, on average.
+PARTNERS = 200
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,10 +53,74 @@ def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), words=2, percent=80)
 
 
+def op4_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    """Merge-dropout segmentation of every document, with checksums of ids and of the text decoded from them."""
+    docs = _table(spark, folder, "documents")
+    encoded = dropout.encode(docs, PIECE_MODEL, DROP_RATE, DROP_SEED)
+    decoded = dropout.decode(encoded, PIECE_MODEL)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+        F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"),
+    )
+
+
+def op5_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation as the chosen one, against itself with its last answer exchanged for that of another.
+
+    The other is the next conversation by id in a group of about PARTNERS, the first following the last.
+    """
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    last = turns.groupBy("conv_id").agg(
+        F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last"),
+        F.max_by("text", F.when(F.col("role") == "assistant", F.col("turn"))).alias("answer"),
+    )
+    groups = max(1, -(-last.count() // PARTNERS))
+    by_id = Window.partitionBy(F.pmod("conv_id", F.lit(groups))).orderBy("conv_id")
+    whole = by_id.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    other = F.coalesce(F.lead("answer").over(by_id), F.first("answer").over(whole), F.lit(""))
+    last = last.withColumn("other", other)
+    before = turns.join(last.select("conv_id", "last"), "conv_id").filter("last is null or turn < last")
+    answer = last.select("conv_id", F.coalesce("last", F.lit(2**31 - 1)).alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))
+    rejected = before.select("conv_id", "turn", "role", "text").unionByName(answer)
+    sides = turns.withColumn("side", F.lit("chosen")).unionByName(rejected.withColumn("side", F.lit("rejected")))
+    found = preferences.format_preferences(sides.withColumnRenamed("conv_id", "pair_id"))
+    trained = [F.aggregate(s, F.lit(0), lambda a, x: a + x["length"]).cast("long").alias(s.replace("spans", "trained")) for s in ("chosen_spans", "rejected_spans")]
+    return found.select(
+        "pair_id", "n_common", *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
+        *[F.length(c).cast("long").alias(f"{c}_chars") for c in ("prompt", "chosen", "rejected")], *trained, "usable",
+    )
+
+
+def op6_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates of all embeddings."""
+    return lattice.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
+def op9_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality rules of every document."""
+    return divergence.judge(_table(spark, folder, "documents"))
+
+
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licences.scan(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_quality": op3_quality,
+    "op4_dropout": op4_dropout,
+    "op5_preferences": op5_preferences,
+    "op6_lattice": op6_lattice,
+    "op7_html": op7_html,
     "op8_minhash": op8_minhash,
+    "op9_divergence": op9_divergence,
+    "op10_licences": op10_licences,
 }
 ORACLES: dict[str, str] = {}
