@@ -90,14 +90,14 @@ class Model:
             slots[open_] = (slots[open_] + 1) & ((1 << self.bits) - 1)
         return out
 
-    def segment(self, words: list[str], seeds: np.ndarray, rate: float) -> list[np.ndarray]:
-        """Ids of each word; seeds: a 64-bit number for each word, which keys its skipped merges."""
+    def segment(self, words: list[str], seeds: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and their number for each; seeds: a 64-bit number a word, which keys its skipped merges."""
         limit = np.uint64(min(int(rate * 2**64), 2**64 - 1))
         sizes = np.array([len(w) for w in words], np.int64)
         symbols = self.lookup[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
         word = np.repeat(np.arange(len(words)), sizes)
         start = np.arange(len(symbols)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        result: list = [np.zeros(0, np.int64)] * len(words)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
 
         def candidates(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Merged piece, and priority (0: none), of the pairs that begin at the positions."""
@@ -121,9 +121,8 @@ class Model:
             best = np.maximum.reduceat(priority, heads)
             counts = np.diff(np.append(heads, len(symbols)))
             if (best == 0).any():  # words without candidates are done
-                for k in np.flatnonzero(best == 0):
-                    result[word[heads[k]]] = symbols[heads[k] : heads[k] + counts[k]]
                 going = np.repeat(best > 0, counts)
+                done.append((word[~going], symbols[~going]))
                 symbols, word, start, to, priority = (x[going] for x in (symbols, word, start, to, priority))
                 best, counts = best[best > 0], counts[best > 0]
                 if not len(symbols):
@@ -134,9 +133,9 @@ class Model:
             stay[here + 1] = False
             moved = here - np.arange(len(here))  # each merge before has taken one symbol away
             symbols, word, start, to, priority = (x[stay] for x in (symbols, word, start, to, priority))
-            at = np.unique(np.concatenate([moved, moved[moved > 0] - 1]))
+            at = np.concatenate([moved, moved[moved > 0] - 1])
             to[at], priority[at] = candidates(at)
-        return result
+        return self._with_bytes(np.concatenate([w for w, _ in done]), np.concatenate([x for _, x in done]), len(words))
 
     def encode(self, texts: list[str], keys: np.ndarray, rate: float, seed: int = 0) -> list[np.ndarray]:
         """Ids of each whole text; keys: a 64-bit number for each text. An empty text has none."""
@@ -154,14 +153,13 @@ class Model:
         words = list(known)
         seeds = np.concatenate([_mixed(keys[o[0]] ^ np.arange(len(o), dtype=np.uint64) * _MIX) for o in owner])
         use = np.concatenate(index) * VARIANTS + (_mixed(seeds) % np.uint64(VARIANTS if rate > 0 else 1)).astype(np.int64)
-        distinct, use = np.unique(use, return_inverse=True)
+        taken = np.zeros(len(words) * VARIANTS, bool)
+        taken[use] = True
+        distinct = np.flatnonzero(taken)
+        use = (np.cumsum(taken) - 1)[use]
         hashes = np.fromiter((xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
-        variant = (distinct % VARIANTS).astype(np.uint64)
-        word_seeds = _mixed(hashes[distinct // VARIANTS] ^ np.uint64(seed)) + variant * _MIX
-        found = self.segment([words[d // VARIANTS] for d in distinct], word_seeds, rate)
-        found = [self._with_bytes(x) for x in found]
-        counts = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate(found)
+        word_seeds = _mixed(hashes[distinct // VARIANTS] ^ np.uint64(seed)) + (distinct % VARIANTS).astype(np.uint64) * _MIX
+        flat, counts = self.segment([words[d] for d in (distinct // VARIANTS).tolist()], word_seeds, rate)
         firsts = np.cumsum(counts) - counts
         times = counts[use]
         after = np.cumsum(times)
@@ -172,17 +170,23 @@ class Model:
             out[o[0]] = ids[ends[k] : ends[k + 1]]
         return out
 
-    def _with_bytes(self, symbols: np.ndarray) -> np.ndarray:
-        if (symbols >= 0).all():
-            return symbols
-        out: list[int] = []
-        for s in symbols.tolist():
-            if s >= 0:
-                out.append(s)
-            else:
-                c = chr(-1 - s)
-                out += [self.bytes[b] for b in (SPACE if c == LITERAL else c).encode("utf-8", "surrogatepass")]
-        return np.array(out, np.int64)
+    def _with_bytes(self, word: np.ndarray, symbols: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols in the order of their words, characters without a piece as the pieces of their bytes."""
+        order = np.argsort(word, kind="stable")
+        word, symbols = word[order], symbols[order]
+        sizes = np.ones(len(symbols), np.int64)
+        spelled = {}
+        for s in set(symbols[symbols < 0].tolist()):
+            c = chr(-1 - s)
+            spelled[s] = [self.bytes[b] for b in (SPACE if c == LITERAL else c).encode("utf-8", "surrogatepass")]
+            sizes[symbols == s] = len(spelled[s])
+        ends = np.cumsum(sizes)
+        flat = np.repeat(symbols, sizes)
+        for s, ids in spelled.items():
+            at = ends[symbols == s]
+            for k, i in enumerate(ids):
+                flat[at - len(ids) + k] = i
+        return flat, np.bincount(word, sizes, words).astype(np.int64)
 
     def decode(self, ids: list[int]) -> str:
         """The text that was encoded, whatever merges were skipped."""
