@@ -12,8 +12,9 @@ import workload
 
 HEADLINE = [
     "colnum_gbif", "barcode_gbif", "names_standard", "dup_stats", "crossfill_coordinates",
-    "newest_determination", "dedup_numbered", "premerge",
-    "expert_by_number", "resolve_taxa", "locate", "nearest_coast",
+    "newest_determination", "dedup_numbered", "premerge", "merge_raw", "master_unnumbered",
+    "expert_by_number", "resolve_taxa", "locate", "nearest_coast", "integrate", "consolidate",
+    "expert_integrate", "flag_coordinates", "resolve_collectors", "fuzzy_best",
 ]
 
 

@@ -28,4 +28,3 @@ def hot(spark):
     spark.conf.set("spark.vasculum.groupRows", "5")
     yield
     spark.conf.unset("spark.vasculum.groupRows")
-    spark.conf.unset("spark.vasculum.cellChars")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from vasculum.operators import rules as R
 from vasculum.operators.dedup import dedup_master, dedup_raw
+from vasculum.operators.filters import require
 from vasculum.operators.groups import crossfill, is_duplicate, number_in_group, with_group_values
-from vasculum.operators.merge import expert_first, long_cells, merge_group, newest_first
+from vasculum.operators.merge import expert_first, merge_group, newest_first
 from vasculum.operators.premerge import present
 from vasculum.schema import NUMBERED_KEYS
 from workload.view import ORDER, specimens
@@ -83,16 +84,29 @@ def test_merge(spark):
     assert len(merged) == df.select("sufix", "country_iso3").distinct().count()
 
 
-def test_cells_too_large(spark, hot):
-    spark.conf.set("spark.vasculum.cellChars", "100")
+def test_cells_are_whole(spark, hot):
     df = specimens(spark, FOLDER)
     order = [F.col(c) for c in ORDER]
-    table = present(df, R.raw_merge(), ORDER)
-    record = merge_group(df, ["source_id"], order, table).collect()
-    assert len(record) == 3 and all(r["barcode"] is None for r in record)
-    cells = long_cells(df, ["source_id"], order, table)
-    assert cells.count() == df.count()
-    assert cells.select("barcode").exceptAll(df.select("barcode")).count() == 0
+    records = merge_group(df, ["source_id"], order, present(df, R.raw_merge(), ORDER))
+    found = records.select(F.explode(F.split("barcode", ", ")).alias("barcode"))
+    every = df.filter("barcode is not null").select(F.explode(F.split("barcode", ", ")).alias("barcode"))
+    same(found, every)
+
+
+def test_slices_with_an_outlier(spark, hot):
+    rows = [("a", i if i < 400 else 10**12, i, "x" if i % 7 == 0 else None) for i in range(401)]
+    df = spark.createDataFrame(rows, "k string, id long, n long, x string")
+    numbered = {r["n"]: r["number"] for r in number_in_group(df, ["k"], ["id"], "number").collect()}
+    assert numbered == {i: i + 1 for i in range(401)}
+    filled = {r["n"]: r["x"] for r in crossfill(df, ["k"], ["x"], ["id"]).collect()}
+    assert set(filled.values()) == {"x"}
+
+
+def test_require_fails_under_count(spark):
+    df = spark.createDataFrame([("a", None), ("b", "c")], "p string, q string")
+    assert require(df.filter("q is not null"), ["q"]).count() == 1
+    with pytest.raises(Exception, match="lacks: q"):
+        require(df, ["q"]).count()
 
 
 @pytest.mark.parametrize("which", ["raw", "master", "expert"])

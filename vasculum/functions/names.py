@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from vasculum.functions.nulls import bind, blank_to_null
 
@@ -111,26 +111,25 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
     return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longest)
 
 
-@F.pandas_udf(T.DoubleType())
-def indel_ratio(a, b):
-    """Similarity by insertions and deletions only, 2·LCS/(|a|+|b|), from 0 to 100.
-    Meant for the few pairs that survive blocking, never for raw rows."""
-    import pandas as pd
-
-    def common(x: str, y: str) -> int:
-        row = [0] * (len(y) + 1)
-        for cx in x:
-            left = diagonal = 0
-            for j, cy in enumerate(y, 1):
-                up = row[j]
-                left = diagonal + 1 if cx == cy else max(up, left)
-                diagonal, row[j] = up, left
-        return row[-1]
-
-    def ratio(x, y):
-        if x is None or y is None:
-            return None
-        size = len(x) + len(y)
-        return 100.0 if size == 0 else 200.0 * common(x, y) / size
-
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+def indel_ratio(a: Column | str, b: Column | str) -> Column:
+    """Similarity by insertions and deletions only, 2·LCS/(|a|+|b|), from 0 to 100; null if a side is null.
+
+    The longest common subsequence is a fold over the characters of one side, which carries the
+    row of lengths over the other side. For pairs that survive blocking: work grows with |a|·|b|.
+    """
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    left, right = (F.filter(F.split(x, ""), lambda c: c != "") for x in (a, b))
+
+    def next_row(row: Column, letter: Column) -> Column:
+        # row[j]: common length with the first j + 1 letters of the right side.
+        def step(done: Column, j: Column) -> Column:
+            diagonal = F.coalesce(F.get(row, j - 1), F.lit(0)) + 1
+            kept = F.greatest(F.get(row, j), F.coalesce(F.get(done, j - 1), F.lit(0)))
+            return F.concat(done, F.array(F.when(F.get(right, j) == letter, diagonal).otherwise(kept)))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(row) - 1), F.array().cast("array<int>"), step)
+
+    start = F.transform(right, lambda _: F.lit(0))
+    common = F.when(F.size(right) > 0, F.coalesce(F.element_at(F.aggregate(left, start, next_row), -1), F.lit(0))).otherwise(0)
+    size = F.length(a) + F.length(b)
+    return F.when(size == 0, F.lit(100.0)).otherwise(200.0 * common / size)

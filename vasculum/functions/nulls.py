@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from vasculum.schema import NULL_NUMBER, NULL_TEXT
+from vasculum.schema import NULL_NUMBER, NULL_TEXT, NULL_TEXT_OF
 
 
 def bind(c: Column, use) -> Column:
@@ -19,10 +19,10 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def text_or_null(c: Column) -> Column:
-    """Trimmed text, null when it is one of the sentinels."""
+def text_or_null(c: Column, also: list[str] = ()) -> Column:
+    """Trimmed text, null when it is one of the sentinels, or of those in `also`."""
     trimmed = F.trim(c)
-    return F.when(~trimmed.isin(NULL_TEXT), trimmed)
+    return F.when(~trimmed.isin([*NULL_TEXT, *also]), trimmed)
 
 
 def number_or_null(c: Column, zero_is_null: bool = False) -> Column:
@@ -40,7 +40,7 @@ def normalise_nulls(
         if columns is not None and field.name not in columns:
             continue
         if isinstance(field.dataType, T.StringType):
-            fixed[field.name] = text_or_null(F.col(field.name))
+            fixed[field.name] = text_or_null(F.col(field.name), NULL_TEXT_OF.get(field.name, []))
         elif isinstance(field.dataType, T.NumericType):
             fixed[field.name] = number_or_null(F.col(field.name), field.name in zero_is_null)
     return df.withColumns(fixed)

@@ -13,7 +13,7 @@ from vasculum.operators.groups import (
     crossfill, fill_in_window, materialise, split_hot, with_group_values,
 )
 from vasculum.operators.merge import (
-    Rule, ascending_nulls_last, expert_first, first, long_cells, mean, merge_group,
+    Rule, ascending_nulls_last, expert_first, first, mean, merge_group,
     newest_first, size, variance,
 )
 from vasculum.schema import COORDINATE_VARIANCE, GATHERING_KEYS
@@ -22,12 +22,10 @@ COORDINATES = ["ddlat", "ddlong"]
 
 
 class Deduplicated(NamedTuple):
-    """Merged records; groups whose coordinates disagree (left unmerged); values too
-    many for one cell."""
+    """Merged records; groups whose coordinates disagree (left unmerged)."""
 
     clean: DataFrame
     quarantine: DataFrame
-    cells: DataFrame
 
 
 def _reconcile(
@@ -95,15 +93,11 @@ def _deduplicate(
             bad = ready.withColumns({n: a.over(group) for n, a in by_group.items()}).filter(~_agrees())
         else:
             bad = with_group_values(ready, keys, by_group).filter(~_agrees())
-        cells = long_cells(ready, keys, merge_order, table) if not in_place else None
-        results.append((clean, bad.select(*df.columns), cells))
-    clean, bad, cells = results[0]
+        results.append((clean, bad.select(*df.columns)))
+    clean, bad = results[0]
     for more in results[1:]:
         clean, bad = clean.unionByName(more[0]), bad.unionByName(more[1])
-        cells = more[2] if cells is None else cells
-    if cells is None:
-        cells = df.limit(0)
-    return Deduplicated(clean, bad, cells)
+    return Deduplicated(clean, bad)
 
 
 def _other_columns(df: DataFrame, keys: list[str], table: dict[str, Rule], kept: list[str]) -> dict[str, Rule]:
@@ -170,7 +164,7 @@ def dedup_master(
         table = kept_table | {c: first(order=newest) for c in named if c in kept_table}
         table |= {c: mean() for c in COORDINATES}
         done = _deduplicate(df, keys, order, table, expert_then_newest, True, True)
-        return Deduplicated(done.clean.withColumn("modified", stamp), done.quarantine, done.cells)
+        return Deduplicated(done.clean.withColumn("modified", stamp), done.quarantine)
 
     # Experts among themselves and the others among themselves, then both together.
     by_status = [*ascending_nulls_last("status"), *newest]
@@ -178,7 +172,7 @@ def dedup_master(
     sided = merge_group(df, [*keys, "_expert"], by_status, kept_table | {"_expert": first()})
     both = _other_columns(sided, keys, R.expert_over_master_merge(), ["orig_recby", *kept])
     merged = merge_group(materialise(sided), keys, [~F.col("_expert"), *map(F.col, order)], both)
-    return Deduplicated(merged.withColumn("modified", stamp), df.drop("_expert").limit(0), df.limit(0))
+    return Deduplicated(merged.withColumn("modified", stamp), df.drop("_expert").limit(0))
 
 
 def diverging_identifications(df: DataFrame, name_columns: list[str]) -> DataFrame:

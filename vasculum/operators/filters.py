@@ -81,19 +81,12 @@ def expert_defaults(df: DataFrame) -> DataFrame:
     )
 
 
-def keep_original(df: DataFrame, copies: dict[str, str]) -> DataFrame:
-    """Backup columns: new name -> column copied before it is changed."""
-    return df.withColumns({new: F.col(old) for new, old in copies.items()})
-
-
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fail the job when a required value is missing, checked while the rows stream by."""
     missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
     message = F.concat(F.lit("expert record lacks: "), missing)
-    guard = columns[0]
-    return df.withColumn(
-        guard, F.when(blank_to_null(missing).isNull(), F.col(guard)).otherwise(F.raise_error(message))
-    )
+    # A filter is not pruned with unread columns, so the check runs even under a count.
+    return df.filter(F.when(blank_to_null(missing).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def count_missing(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,20 +6,19 @@ its values come from aggregates, which Spark reduces on the map side first, and
 its order-dependent steps run on slices of the group. Both ways give the same
 result.
 
-At most `MOST_HOT_KEYS` groups are treated as hot. That bounds what is broadcast,
-and the largest group left over holds no more than rows / MOST_HOT_KEYS rows.
+However many groups are hot, their keys stay a table that is joined; nothing is
+collected, and whether a join is broadcast is left to measured sizes.
 """
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 GROUP_ROWS = 200_000
-MOST_HOT_KEYS = 10_000
-MOST_SLICES = 100_000
+#: Slices of a hot group, between quantiles of its order column.
+SLICES = 1_000
 
 
 def group_rows(spark: SparkSession) -> int:
@@ -27,15 +26,12 @@ def group_rows(spark: SparkSession) -> int:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the cluster's shared folder."""
+    """Cut the lineage with a checkpoint in the cluster's shared folder (the warehouse's, if none is set)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="vasculum-")
-        context.setCheckpointDir(folder)
+        warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(folder or warehouse.rstrip("/") + "/_checkpoints")
     return df.checkpoint()
 
 
@@ -48,18 +44,15 @@ def same_key(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "
 
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """The keys (columns `_h_<key>`) and sizes (`_hn`) of the groups above the limit,
-    or None. Counts are combined on the map side and only the few hot ones come back."""
+    or None. Counts are combined on the map side; the hot keys stay a table."""
     spark = df.sparkSession
-    counts = (
+    counts = materialise(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_hn"))
         .filter(F.col("_hn") > group_rows(spark))
-        .orderBy(F.desc("_hn"))
-        .limit(MOST_HOT_KEYS)
         .select(*[F.col(k).alias("_h_" + k) for k in keys], "_hn")
     )
-    rows = counts.collect()
-    return spark.createDataFrame(rows, counts.schema) if rows else None
+    return None if counts.isEmpty() else counts
 
 
 def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
@@ -67,19 +60,17 @@ def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | No
     hot = hot_keys(df, keys)
     if hot is None:
         return df, None, None
-    small = F.broadcast(hot)
-    on = same_key(df, small, keys, "_h_")
+    on = same_key(df, hot, keys, "_h_")
     return (
-        df.join(small, on, "left_anti"),
-        materialise(df.join(small, on, "left_semi")),
+        df.join(hot, on, "left_anti"),
+        materialise(df.join(hot, on, "left_semi")),
         hot,
     )
 
 
 def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """Join back aggregates of hot groups: at most MOST_HOT_KEYS rows, so broadcast."""
-    renamed = per_key.withColumnsRenamed({k: "_k_" + k for k in keys})
-    small = F.broadcast(renamed)
+    """Join back aggregates of hot groups, one row for each."""
+    small = per_key.withColumnsRenamed({k: "_k_" + k for k in keys})
     return df.join(small, same_key(df, small, keys, "_k_"), "left").drop(*["_k_" + k for k in keys])
 
 
@@ -115,18 +106,16 @@ def ordered_by(order: list[str]) -> Column:
 
 
 def _slices(hot: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """Cut hot groups into slices `_s` that increase with the number `by`."""
-    limit = group_rows(hot.sparkSession)
-    ranges = hot.groupBy(*keys).agg(
-        F.min(by).cast("double").alias("_lo"),
-        F.max(by).cast("double").alias("_hi"),
-        F.least(F.ceil(F.count(F.lit(1)) / limit), F.lit(MOST_SLICES)).alias("_cuts"),
-    )
-    place = F.width_bucket(F.col(by).cast("double"), F.col("_lo"), F.col("_hi"), F.col("_cuts"))
+    """Cut hot groups into slices `_s` that increase with the number `by`. The cuts are
+    quantiles, so a clustered column or an outlier does not fill one slice."""
+    cuts = F.percentile_approx(by, [k / SLICES for k in range(1, SLICES)], 10 * SLICES)
+    ranges = hot.groupBy(*keys).agg(F.array_sort(F.array_distinct(cuts)).alias("_cuts"))
+    # The number of cuts below the value; a null comes first, as in an ascending order.
+    place = F.size(F.filter("_cuts", lambda cut: cut < F.col(by)))
     return (
         attach(hot, ranges, keys)
-        .withColumn("_s", F.coalesce(place, F.lit(0)))
-        .drop("_lo", "_hi", "_cuts")
+        .withColumn("_s", F.when(F.col(by).isNotNull(), F.coalesce(place, F.lit(0))).otherwise(-1))
+        .drop("_cuts")
     )
 
 
@@ -154,7 +143,7 @@ def crossfill(df: DataFrame, keys: list[str], columns: list[str], order: list[st
         *[F.max_by(c, known[c]).alias("_last_" + c) for c in columns],
         *[F.min_by(c, known[c]).alias("_first_" + c) for c in columns],
     )
-    # One row per slice: rows / group_rows of them in all.
+    # One row per slice.
     along = W.partitionBy(*keys).orderBy("_s")
     whole = along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     summary = summary.select(
@@ -168,7 +157,7 @@ def crossfill(df: DataFrame, keys: list[str], columns: list[str], order: list[st
             for c in columns
         ],
     )
-    small = F.broadcast(summary)
+    small = summary
     joined = sliced.join(
         small, same_key(sliced, small, keys, "_k_") & (sliced["_s"] == small["_k_s"]), "left"
     )
@@ -182,7 +171,7 @@ def crossfill(df: DataFrame, keys: list[str], columns: list[str], order: list[st
 def number_in_group(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Running number (from 1) within the group."""
     usual, hot, _ = split_hot(df, keys)
-    out = usual.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    out = usual.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     if hot is None:
         return out
     sliced = materialise(_slices(hot, keys, order[0]))
@@ -195,10 +184,10 @@ def number_in_group(df: DataFrame, keys: list[str], order: list[str], name: str)
             F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_before"),
         )
     )
-    small = F.broadcast(before)
+    small = before
     joined = sliced.join(
         small, same_key(sliced, small, keys, "_k_") & (sliced["_s"] == small["_k_s"]), "left"
     )
     within = W.partitionBy(*keys, "_s").orderBy(*order)
-    numbered = joined.withColumn(name, (F.row_number().over(within) + F.col("_before")).cast("int"))
+    numbered = joined.withColumn(name, (F.row_number().over(within) + F.col("_before")).cast("long"))
     return out.unionByName(numbered.select(*out.columns))

@@ -11,11 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vasculum.operators.groups import attach, split_hot
+from vasculum.operators.groups import split_hot
 from vasculum.schema import separator
 
-CELL_CHARS = 64 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -82,7 +80,7 @@ def newest_first(c: str = "det_year") -> list[Column]:
 
 
 def _aggregate(
-    df: DataFrame, keys: list[str], order: list[Column], rules: dict[str, Rule], fits: Column | None
+    df: DataFrame, keys: list[str], order: list[Column], rules: dict[str, Rule]
 ) -> DataFrame:
     orders: dict[str, tuple[str, Column]] = {}
 
@@ -113,7 +111,7 @@ def _aggregate(
     if cells:
         # One list of the cell columns of each record, so the order is carried once.
         member = F.struct(F.col(default), *[F.col(r.source or n).alias(n) for n, r in cells.items()])
-        extra.append(F.sort_array(F.collect_list(member if fits is None else F.when(fits, member))).alias("_members"))
+        extra.append(F.sort_array(F.collect_list(member)).alias("_members"))
         extra += [F.count(r.source or n).alias("_c_" + n) for n, r in cells.items()]
         extra.append(F.count(F.lit(1)).alias("_size"))
     ready = df.withColumns(dict(orders.values()))
@@ -122,8 +120,6 @@ def _aggregate(
     def cell(name: str, rule: Rule) -> Column:
         filled = F.col("_c_" + name)
         complete = filled == F.col("_size") if rule.kind == "join_or_null" else filled > 0
-        if fits is not None:
-            complete &= F.size("_members") > 0
         return F.when(complete, F.array_join(F.col("_members")[name], rule.text))
 
     return grouped.select(
@@ -132,17 +128,6 @@ def _aggregate(
     )
 
 
-def _cell_sizes(hot: DataFrame, keys: list[str], rules: dict[str, Rule]) -> DataFrame:
-    """Whether the joined cells of each hot group stay below the size of a cell."""
-    limit = int(hot.sparkSession.conf.get("spark.vasculum.cellChars", str(CELL_CHARS)))
-    width = sum(
-        (F.coalesce(F.length(F.col(r.source or n)), F.lit(0)) + len(r.text)
-         for n, r in rules.items() if r.kind in ("join", "join_or_null")),
-        F.lit(0),
-    )
-    return hot.groupBy(*keys).agg((F.sum(width.cast("long")) <= limit).alias("_fits"))
-
-
 def merge_group(
     df: DataFrame,
     keys: list[str],
@@ -155,27 +140,12 @@ def merge_group(
 
     Rows of ordinary groups are shuffled once, by `partition_by` (a subset of the
     keys; pass it when `df` is already laid out that way) and merged in place. Rows of
-    hot groups are merged on the map side before the shuffle. A joined cell of a hot
-    group that would pass `spark.vasculum.cellChars` is left null in the record; its
-    values are the rows `long_cells` returns.
+    hot groups are merged on the map side before the shuffle. Joined cells are whole
+    whatever their size: a group's cell values are held by one task, as its record is.
     """
     usual, hot, _ = split_hot(df, keys) if partition_by is None else (df, None, None)
     laid_out = usual.repartition(*keys) if partition_by is None else usual
-    merged = _aggregate(laid_out, keys, order, rules, None)
+    merged = _aggregate(laid_out, keys, order, rules)
     if hot is not None:
-        sized = attach(hot, _cell_sizes(hot, keys, rules), keys)
-        merged = merged.unionByName(_aggregate(sized, keys, order, rules, F.col("_fits")))
+        merged = merged.unionByName(_aggregate(hot, keys, order, rules))
     return merged.select(*rules)
-
-
-def long_cells(df: DataFrame, keys: list[str], order: list[Column], rules: dict[str, Rule]) -> DataFrame:
-    """Values of the joined cells that are too large for a cell, one row per record:
-    the keys, the record's place in the order, and the cell columns."""
-    columns = [n for n, r in rules.items() if r.kind in ("join", "join_or_null")]
-    _, hot, _ = split_hot(df, keys)
-    rows = df.limit(0).withColumn("_fits", F.lit(True)) if hot is None else attach(hot, _cell_sizes(hot, keys, rules), keys)
-    return rows.filter(~F.col("_fits")).select(
-        *[F.col(k).alias("key_" + k) for k in keys],
-        F.to_json(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias("position"),
-        *[F.col(rules[c].source or c).alias(c) for c in columns],
-    )

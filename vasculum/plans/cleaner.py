@@ -106,7 +106,8 @@ def clean_records(
     typed, no_barcode = clean_columns(df, source)
     named, to_check = standardise_names(flag_expert(typed, expert_file))
     if corrected is not None:
-        named = named.unionByName(corrected, allowMissingColumns=True)
+        # A record whose determiner could not be read went on already; its corrected form takes its place.
+        named = named.join(corrected.select("record_id").distinct(), "record_id", "left_anti").unionByName(corrected, allowMissingColumns=True)
     out = keep_usable_institutes(named)
     if botanists is not None:
         out = resolve_collectors(out, botanists, ORDER)

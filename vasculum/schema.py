@@ -51,6 +51,8 @@ DOUBLE_COLUMNS = {"ddlat", "ddlong"}
 
 # Text that stands for "no value" in the files.
 NULL_TEXT = ["", "-9999", "nan", "NaN", "None", "<NA>"]
+# Those of single columns.
+NULL_TEXT_OF = {"geo_issues": ["NONE"], "country": ["not found"]}
 NULL_NUMBER = -9999
 NO_BARCODE = "no_Barcode"
 

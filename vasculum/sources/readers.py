@@ -15,9 +15,9 @@ from vasculum.schema import (
 )
 
 
-def read_delimited(spark: SparkSession, path: str, separator: str, multiline: bool = False) -> DataFrame:
-    """Every column as text. Leave `multiline` off unless cells contain line breaks:
-    a file with it cannot be split among tasks."""
+def read_delimited(spark: SparkSession, path: str, separator: str, multiline: bool = True) -> DataFrame:
+    """Every column as text, line breaks in quoted cells included. Turn `multiline` off only for
+    files without any: those can be split among tasks."""
     return (
         spark.read.option("header", True)
         .option("sep", separator)
@@ -55,7 +55,7 @@ def standardise_columns(df: DataFrame, spec: SourceSpec) -> DataFrame:
     )
 
 
-def read_source(spark: SparkSession, path: str, source: str, multiline: bool = False) -> DataFrame:
+def read_source(spark: SparkSession, path: str, source: str, multiline: bool = True) -> DataFrame:
     """A provider's file with standard column names; all text, sentinels null."""
     if source not in SOURCES:
         raise ValueError(f"unknown source {source}; known are {', '.join(SOURCES)}")

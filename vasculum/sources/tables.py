@@ -18,8 +18,8 @@ def run_stamp(user: str, moment: str) -> Column:
 
 
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A `;`-separated master or backlog file with sentinels for nulls."""
-    return conform_master(normalise_nulls(read_delimited(spark, path, ";")))
+    """A `;`-separated master or backlog file with sentinels for nulls. Line breaks in cells are kept."""
+    return conform_master(normalise_nulls(read_delimited(spark, path, ";", multiline=True)))
 
 
 def write_csv(df: DataFrame, path: str, na_value: int | None = None, mode: str = "errorifexists") -> None:
@@ -29,16 +29,18 @@ def write_csv(df: DataFrame, path: str, na_value: int | None = None, mode: str =
 
 
 def append_quarantine(df: DataFrame, path: str, stamp: Column) -> None:
-    """Add set-aside records to a quarantine table, marked with the run."""
-    df.withColumn("quarantined", stamp).write.mode("append").parquet(path)
+    """Add set-aside records to a quarantine table, in a folder of the run's stamp, which a repeated run writes anew."""
+    marked = df.withColumn("quarantined", stamp).write.mode("overwrite")
+    marked.option("partitionOverwriteMode", "dynamic").partitionBy("quarantined").parquet(path)
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:
-    """Complete versions of the store, oldest first."""
+    """Complete versions of the store, oldest first by the time of their marker, whatever their names."""
     jvm = spark._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/*/{DONE}/_SUCCESS")
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(f.getPath().getParent().getParent().getName() for f in (found or []))
+    marked = [(f.getModificationTime(), f.getPath().getParent().getParent().getName()) for f in (found or [])]
+    return [name for _, name in sorted(marked)]
 
 
 def read_store(spark: SparkSession, root: str, version: str | None = None) -> dict[str, DataFrame] | None:

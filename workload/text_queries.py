@@ -299,10 +299,18 @@ def name_similarity(spark, folder):
     )
 
 
-@query("indel_ratio")
+@ask("indel_ratio", ("surname_text", "given_text"),
+     """round(CASE WHEN length(surname_text) + length(given_text) = 0 THEN 100.0 ELSE 200.0 * coalesce(CASE WHEN length(given_text) > 0 THEN
+     list_reduce(list_concat([list_transform(range(length(given_text)), lambda j: 0)], list_transform(range(length(surname_text)), lambda i: [i])),
+       lambda line, letter: list_reduce(list_concat([[0]], list_transform(range(length(given_text)), lambda j: [j])),
+         lambda done, k: list_append(done, CASE WHEN surname_text[letter[1] + 1] = given_text[k[1] + 1]
+           THEN coalesce(CASE WHEN k[1] > 0 THEN line[k[1]] END, 0) + 1
+           ELSE greatest(line[k[1] + 1], CASE WHEN k[1] > 0 THEN done[k[1] + 1] ELSE 0 END) END))[2:])[-1] END, 0) / (length(surname_text) + length(given_text)) END
+     + 0.00000003, 6) AS ratio""")
 def indel_ratio(spark, folder):
-    pairs = texts(spark, folder, "surname_text", "given_text").select("surname_text", "given_text").distinct()
-    return pairs.withColumn("ratio", F.round(N.indel_ratio("surname_text", "given_text"), 6))
+    return texts(spark, folder, "surname_text", "given_text").select(
+        *KEYS, F.round(N.indel_ratio("surname_text", "given_text") + 0.00000003, 6).alias("ratio")
+    )
 
 
 @ask("cell_dedup", ("cell", "dets"),
