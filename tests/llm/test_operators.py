@@ -317,7 +317,7 @@ def test_divergence(spark, documents):
         assert all(x is None or 0 <= x <= 1 for x in (r.class_distance, r.word_distance))
         assert (r.class_distance is None) == (r.n_words < 30)
     counts, reference = [3, 0, 5, 2], [0.1, 0.4, 0.5, 0.0]
-    got = spark.createDataFrame([(counts,)], "c array<long>").select(divergence._distance(F.col("c"), reference)).first()[0]
+    got = spark.createDataFrame([(counts,)], "c array<long>").select(divergence._distance(F.col("c"), F.lit(10), reference)).first()[0]
     p = [x / 10 for x in counts]
     total = sum(a * math.log2(2 * a / (a + b)) for a, b in zip(p, reference, strict=True) if a) + sum(b * math.log2(2 * b / (a + b)) for a, b in zip(p, reference, strict=True) if b)
     assert got == pytest.approx(math.sqrt(total / 2))

@@ -46,7 +46,7 @@ def _repeated_words(words: Column, hashes: Column) -> Column:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows (doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes, common): counts over each whole text."""
+    """Rows (doc_id, lang, n_words, n_chars, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes, common): counts over each whole text."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
@@ -68,7 +68,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.transform(F.sequence(F.lit(1), F.size("words") - WINDOW + 1), lambda i: F.xxhash64(F.slice("words", i, WINDOW))),
     )
     rows = rows.select(
-        "doc_id", "lang", "words", "classes", lines.alias("lines"), windows.alias("windows"),
+        "doc_id", "lang", "words", "classes", F.col("size").cast("long").alias("n_chars"), lines.alias("lines"), windows.alias("windows"),
         (F.col("size") - F.col(f"n{names.index('space')}")).cast("long").alias("word_chars"),
         F.col(f"n{names.index('symbol')}").cast("long").alias("n_symbols"),
     )
@@ -80,7 +80,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return rows.select(
         "doc_id", "lang",
         F.size("words").cast("long").alias("n_words"),
-        "word_chars", "n_symbols",
+        "n_chars", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("repeats"), _repeated_words(F.col("words"), F.col("windows"))).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
         "classes",
@@ -101,9 +101,8 @@ def _references(found: DataFrame, least_words: int) -> list[tuple[list[float], l
     return out
 
 
-def _distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, so 0 to 1) of a histogram that is not empty to a reference."""
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+def _distance(counts: Column, total: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon distance (base 2, so 0 to 1) of a histogram with a positive total to a reference."""
 
     def part(p: Column, q: Column) -> Column:
         middle = (p + q) / 2
@@ -128,7 +127,7 @@ def judge(
     long_enough = F.col("n_words") >= least_words
     none = F.lit(None).cast("double")
     pairs = [F.struct((a + b).alias("sum"), a.alias("a"), b.alias("b")) for a, b in
-             ((_distance(F.col("classes"), x), _distance(F.col("common"), y)) for x, y in references)]
+             ((_distance(F.col("classes"), F.col("n_chars"), x), _distance(F.col("common"), F.col("n_words"), y)) for x, y in references)]
     nearest = F.when(long_enough, F.array_min(F.array(*pairs))) if pairs else F.struct(none.alias("sum"), none.alias("a"), none.alias("b"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = found.withColumn("nearest", nearest).withColumn("base_failed", failed)
