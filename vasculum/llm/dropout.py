@@ -20,7 +20,7 @@ from vasculum.llm.storage import in_parts
 
 #: An occurrence of a word takes one of so many segmentations of it, drawn by seed, document and place.
 VARIANTS = 8
-PART_CHARS = 4_000_000
+PART_CHARS = 9_000_000
 SPACE = "▁"
 #: Stands for a SPACE that is in the text itself; a lone surrogate, which no text holds.
 LITERAL = "\ud800"
