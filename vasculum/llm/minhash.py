@@ -3,7 +3,8 @@
 Documents with equal shingle sets form one class, found by a 128-bit fingerprint, and only classes go on.
 First every class is paired with the smallest class of each of its bands' buckets; signatures and then full sets confirm,
 and alternating stars give components. Then the classes of a bucket that are still apart are compared with
-each other, inside the bucket and in blocks of bounded size, so nothing is lost to the choice of the smallest.
+each other, inside the bucket and in blocks of bounded size, first for the best pairs, then for all, so nothing is lost to
+the choice of the smallest.
 """
 
 from __future__ import annotations
@@ -21,14 +22,15 @@ from vasculum.llm.storage import in_parts, stored
 
 #: 25 bands of 5 rows: a pair of similarity 0.8 is missed with probability 5e-5.
 BANDS, ROWS = 25, 5
-#: Pairs whose signatures agree in less than the threshold less this share are dropped (over five standard deviations).
-SLACK = 0.18
+#: Minima of a signature, of which the first make the bands. Pairs whose signatures agree in less than the threshold less
+#: SLACK are dropped (five standard deviations). Signatures hold 16 bits of each minimum.
+MINIMA, SLACK = 250, 0.127
 #: Classes of one bucket compared in one block, and links verified against one text in one group.
 BLOCK, VERIFY = 1_500, 100
 PART_CHARS = 4_000_000
 _RANDOM = np.random.RandomState(20_011)
-_A = (_RANDOM.randint(0, 2**62, BANDS * ROWS, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-_B = _RANDOM.randint(0, 2**62, BANDS * ROWS, dtype=np.int64).astype(np.uint64)
+_A = (_RANDOM.randint(0, 2**62, MINIMA, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+_B = _RANDOM.randint(0, 2**62, MINIMA, dtype=np.int64).astype(np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,7 +62,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 def _band_keys(minima: np.ndarray) -> np.ndarray:
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
-        keys = (keys ^ minima.reshape(BANDS, ROWS)[:, k]) * _MIX
+        keys = (keys ^ minima[: BANDS * ROWS].reshape(BANDS, ROWS)[:, k]) * _MIX
         keys ^= keys >> np.uint64(31)
     return keys.astype(np.int64)
 
@@ -81,7 +83,7 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
                         print128 = xxh3_128_intdigest(found.tobytes())
                         minima = signature(found)
                         two = np.array([print128 >> 64, print128 & (2**64 - 1)], np.uint64).astype(np.int64)
-                        row = [len(found), int(two[0]), int(two[1]), minima.tobytes(), _band_keys(minima)]
+                        row = [len(found), int(two[0]), int(two[1]), minima.astype(np.uint16).tobytes(), _band_keys(minima)]
                     for values, x in zip(out, row, strict=True):
                         values.append(x)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
@@ -96,7 +98,7 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
 
 def _alike(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """Shares in which signatures agree, row by row."""
-    return (np.frombuffer(b"".join(a), np.uint32).reshape(len(a), -1) == np.frombuffer(b"".join(b), np.uint32).reshape(len(b), -1)).mean(axis=1)
+    return (np.frombuffer(b"".join(a), np.uint16).reshape(len(a), -1) == np.frombuffer(b"".join(b), np.uint16).reshape(len(b), -1)).mean(axis=1)
 
 
 def _by_signature(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -146,12 +148,14 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components and whose sizes and signatures allow the threshold."""
-    placed = buckets.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y")
-    members = placed.join(mixed.select("band", "key", "n"), ["band", "key"])
-    members = members.join(classes.select("node", "n_shingles", "minima"), "node")
+def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Pairs of one bucket that lie in different components and whose sizes and signatures allow the threshold.
+
+    With `best_only`, of each class and component only the pair whose signatures agree best.
+    """
+    placed = buckets.select("key", "node").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y")
+    members = placed.join(mixed.select("key", "n"), "key").join(classes, "node")
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
     members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -161,19 +165,24 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
         rows = rows.sort_values("node")
         node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
         size, own = rows["n_shingles"].to_numpy(), rows["own"].to_numpy()
-        minima = np.frombuffer(b"".join(rows["minima"]), np.uint32).reshape(len(rows), -1)
-        i, j, found = key[2], key[3], []
+        minima = np.frombuffer(b"".join(rows["minima"]), np.uint16).reshape(len(rows), -1)
+        i, j, found = key[1], key[2], []
         for k in range(len(rows)):
             fits = (node > node[k]) & (comp != comp[k]) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k]))
             if i != j:
                 fits &= own != own[k]
             at = np.flatnonzero(fits)
-            at = at[(minima[at] == minima[k]).mean(axis=1) >= percent / 100 - SLACK]
+            share = (minima[at] == minima[k]).mean(axis=1)
+            good = share >= percent / 100 - SLACK
+            at, share = at[good], share[good]
+            if best_only and len(at):
+                at = at[np.argsort(-share, kind="stable")]
+                at = at[np.unique(comp[at], return_index=True)[1]]
             found.append(np.stack([np.full(len(at), node[k]), node[at]], axis=1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    found = members.select("band", "key", "i", "j", "node", "component", "n_shingles", "own", "minima")
-    return found.groupBy("band", "key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    found = members.select("key", "i", "j", "node", "component", "n_shingles", "own", "minima")
+    return found.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -192,16 +201,19 @@ def near_duplicates(
         F.min("doc_id").alias("node"), F.min_by(F.struct("n_shingles", "minima", "bands"), "doc_id").alias("own")
     )
     classes = stored(classes.select("f1", "f2", "node", "own.n_shingles", "own.minima", "own.bands"), "classes")
-    banded = classes.select("node", F.posexplode("bands").alias("band", "key"))
-    least = banded.groupBy("band", "key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
-    buckets = stored(banded.join(least.select("band", "key", "a"), ["band", "key"]), "buckets")
+    banded = classes.select("node", F.explode("bands").alias("key"))  # a key holds its band's number
+    least = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
+    buckets = stored(banded.join(least.select("key", "a"), "key"), "buckets")
+    met = stored(classes.select("node", "n_shingles", "minima").join(buckets.select("node").distinct(), "node", "left_semi"), "met")
     pairs = buckets.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
-    links = stored(_verify(_by_signature(pairs, classes, percent), docs, words, percent, id_col, text_col).distinct(), "links")
+    links = stored(_verify(_by_signature(pairs, met, percent), docs, words, percent, id_col, text_col).distinct(), "links")
     components = stored(connected_components(links), "components")
-    more = stored(_apart(buckets, components, classes, percent), "apart")
-    if not more.isEmpty():
-        found = _verify(more, docs, words, percent, id_col, text_col)
-        components = connected_components(links.unionByName(found).distinct())
+    for best_only in (True, False):  # most of what is still apart is joined by the best pairs, so few pairs are left for the last look
+        more = stored(_apart(buckets, components, met, percent, best_only), "apart")
+        if not more.isEmpty():
+            found = stored(_verify(more, docs, words, percent, id_col, text_col).distinct(), "links")
+            joined = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            components = stored(connected_components(joined.unionByName(found)), "components")
     placed = classes.select("f1", "f2", "node").join(components, "node", "left")
     placed = placed.select("f1", "f2", F.coalesce("component", "node").alias("component_id"))
     result = full.select("doc_id", "n_shingles", "f1", "f2").join(placed, ["f1", "f2"], "left").select("doc_id", "n_shingles", "component_id")
