@@ -166,6 +166,7 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
         node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
         size, own = rows["n_shingles"].to_numpy(), rows["own"].to_numpy()
         minima = np.frombuffer(b"".join(rows["minima"]), np.uint16).reshape(len(rows), -1)
+        bands = np.stack(rows["bands"].to_list())
         i, j, found = key[1], key[2], []
         for k in range(len(rows)):
             fits = (node > node[k]) & (comp != comp[k]) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k]))
@@ -175,13 +176,17 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
             share = (minima[at] == minima[k]).mean(axis=1)
             good = share >= percent / 100 - SLACK
             at, share = at[good], share[good]
+            # A pair that shares several buckets is told in that of the first band only.
+            common = bands[at] == bands[k]
+            here = bands[at, common.argmax(axis=1)] == key[0]
+            at, share = at[here], share[here]
             if best_only and len(at):
                 at = at[np.argsort(-share, kind="stable")]
                 at = at[np.unique(comp[at], return_index=True)[1]]
             found.append(np.stack([np.full(len(at), node[k]), node[at]], axis=1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    found = members.select("key", "i", "j", "node", "component", "n_shingles", "own", "minima")
+    found = members.select("key", "i", "j", "node", "component", "n_shingles", "own", "minima", "bands")
     return found.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
@@ -204,7 +209,7 @@ def near_duplicates(
     banded = classes.select("node", F.explode("bands").alias("key"))  # a key holds its band's number
     least = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     buckets = stored(banded.join(least.select("key", "a"), "key"), "buckets")
-    met = stored(classes.select("node", "n_shingles", "minima").join(buckets.select("node").distinct(), "node", "left_semi"), "met")
+    met = stored(classes.select("node", "n_shingles", "minima", "bands").join(buckets.select("node").distinct(), "node", "left_semi"), "met")
     pairs = buckets.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
     links = stored(_verify(_by_signature(pairs, met, percent), docs, words, percent, id_col, text_col).distinct(), "links")
     components = stored(connected_components(links), "components")
