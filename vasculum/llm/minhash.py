@@ -211,6 +211,9 @@ def near_duplicates(
     buckets = stored(banded.join(least.select("key", "a"), "key"), "buckets")
     met = stored(classes.select("node", "n_shingles", "minima", "bands").join(buckets.select("node").distinct(), "node", "left_semi"), "met")
     pairs = buckets.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    # Only classes that meet another are ever verified: their texts are picked once, by whichever join Spark finds fit for their number.
+    meeting = met.select(F.col("node").alias(id_col))
+    docs = stored(docs.select(F.col(id_col).cast("long").alias(id_col), text_col).join(meeting, id_col, "left_semi"), "texts")
     links = stored(_verify(_by_signature(pairs, met, percent), docs, words, percent, id_col, text_col).distinct(), "links")
     components = stored(connected_components(links), "components")
     for best_only in (True, False):  # most of what is still apart is joined by the best pairs, so few pairs are left for the last look
