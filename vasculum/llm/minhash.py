@@ -52,11 +52,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 def signature(found: np.ndarray) -> np.ndarray:
     """Minima of the universal hashes (a x + b, upper half) over a set that is not empty."""
-    out = np.full(len(_A), np.iinfo(np.uint32).max, np.uint32)
-    for at in range(0, len(found), 2_048):
-        block = (_A[:, None] * found[at : at + 2_048] + _B[:, None]) >> np.uint64(32)
-        out = np.minimum(out, block.min(axis=1).astype(np.uint32))
-    return out
+    out = np.full(len(_A), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(found), 256):  # a block of hashes stays in the processor's cache
+        block = _A[:, None] * found[at : at + 256]
+        block += _B[:, None]
+        np.minimum(out, block.min(axis=1), out=out)
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def _band_keys(minima: np.ndarray) -> np.ndarray:
