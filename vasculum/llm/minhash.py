@@ -12,8 +12,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,33 +162,68 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
     members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     members = members.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
-        size, own = rows["n_shingles"].to_numpy(), rows["own"].to_numpy()
-        minima = np.frombuffer(b"".join(rows["minima"]), np.uint16).reshape(len(rows), -1)
-        bands = np.stack(rows["bands"].to_list())
-        i, j, found = key[1], key[2], []
-        for k in range(len(rows)):
-            fits = (node > node[k]) & (comp != comp[k]) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k]))
-            if i != j:
-                fits &= own != own[k]
-            at = np.flatnonzero(fits)
+    columns = ["key", "i", "j", "node", "component", "n_shingles", "own"]
+
+    def compare(key: int, across: bool, node, comp, size, own, minima, bands) -> np.ndarray:
+        """Pairs of one bucket's blocks; rows come by node."""
+        found = []
+        for k in range(len(node) - 1):
+            rest = slice(k + 1, None)
+            fits = (node[rest] > node[k]) & (comp[rest] != comp[k])
+            fits &= 100 * np.minimum(size[rest], size[k]) >= percent * np.maximum(size[rest], size[k])
+            if across:
+                fits &= own[rest] != own[k]
+            at = k + 1 + np.flatnonzero(fits)
+            if not len(at):
+                continue
             share = (minima[at] == minima[k]).mean(axis=1)
             good = share >= percent / 100 - SLACK
             at, share = at[good], share[good]
             # A pair that shares several buckets is told in that of the first band only.
             common = bands[at] == bands[k]
-            here = bands[at, common.argmax(axis=1)] == key[0]
+            here = bands[at, common.argmax(axis=1)] == key
             at, share = at[here], share[here]
             if best_only and len(at):
                 at = at[np.argsort(-share, kind="stable")]
                 at = at[np.unique(comp[at], return_index=True)[1]]
             found.append(np.stack([np.full(len(at), node[k]), node[at]], axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
-    found = members.select("key", "i", "j", "node", "component", "n_shingles", "own", "minima", "bands")
-    return found.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """The sorted rows again, cut only where a new pair of blocks begins."""
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            last = np.ones(rows.num_rows, bool)
+            for c in ("key", "i", "j"):
+                values = rows.column(c).to_numpy()
+                last &= values == values[-1]
+            cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if cut:
+                yield rows.slice(0, cut)
+            rest = rows.slice(cut)
+        if rest is not None:
+            yield rest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole(batches):
+            key, i, j, node, comp, size, own = (rows.column(c).to_numpy() for c in columns)
+            minima = np.frombuffer(b"".join(rows.column("minima").to_pylist()), np.uint16).reshape(len(key), -1)
+            bands = pc.list_flatten(rows.column("bands")).to_numpy().reshape(len(key), -1)
+            new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            ends, found = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)], []
+            for a, b in zip(ends, ends[1:], strict=False):
+                at = slice(a, b)
+                pairs = compare(key[a], i[a] != j[a], node[at], comp[at], size[at], own[at], minima[at], bands[at])
+                found.append(pairs)
+            pairs = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    rows = members.select(*columns, "minima", "bands").repartition("key", "i", "j")
+    return rows.sortWithinPartitions("key", "i", "j", "node").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(
