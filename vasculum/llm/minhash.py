@@ -1,10 +1,10 @@
 """Near duplicates by MinHash: universal hash minima, banding, signature and exact verification, components.
 
 Documents with equal shingle sets form one class, found by a 128-bit fingerprint, and only classes go on.
-First every class is paired with the smallest class of each of its bands' buckets; signatures and then full sets confirm,
-and alternating stars give components. Then the classes of a bucket that are still apart are compared with
-each other, inside the bucket and in blocks of bounded size, first for the best pairs, then for all, so nothing is lost to
-the choice of the smallest.
+First every class is paired with that smallest class of its bands' buckets whose signature agrees best; full sets confirm,
+and alternating stars give components. Then the classes of a bucket that are still apart are compared with each other,
+inside the bucket and in blocks of bounded size. As long as that joins many, each class tells only its best pair; at last
+all pairs that are still apart are told, so nothing is lost to the choice of the smallest or the best.
 """
 
 from __future__ import annotations
@@ -13,12 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vasculum.llm.components import connected_components
-from vasculum.llm.storage import in_parts, stored
+from vasculum.llm.storage import in_parts, picked, stored
 
 #: 25 bands of 5 rows: a pair of similarity 0.8 is missed with probability 5e-5.
 BANDS, ROWS = 25, 5
@@ -61,49 +60,63 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def _band_keys(minima: np.ndarray) -> np.ndarray:
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    """Keys of the bands, a row for each signature of 16-bit minima."""
+    parts = minima[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(parts), 1))
     for k in range(ROWS):
-        keys = (keys ^ minima[: BANDS * ROWS].reshape(BANDS, ROWS)[:, k]) * _MIX
+        keys = (keys ^ parts[:, :, k]) * _MIX
         keys ^= keys >> np.uint64(31)
-    return keys.astype(np.int64)
+    return keys.view(np.int64)
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_shingles, f1, f2, minima, bands); fingerprint, minima and bands are null for an empty set."""
+    """Rows (doc_id, n_shingles, f1, f2, minima); fingerprint and minima are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_intdigest
 
         for batch in batches:
             for rows in in_parts(batch, 1, PART_CHARS):
-                out: list[list] = [[] for _ in range(5)]
+                out: list[list] = [[] for _ in range(4)]
                 for text in rows.column(1).to_pylist():
                     found = shingles(text, words)
-                    row = [len(found), None, None, None, None]
+                    row = [len(found), None, None, None]
                     if len(found):
                         print128 = xxh3_128_intdigest(found.tobytes())
                         minima = signature(found)
                         two = np.array([print128 >> 64, print128 & (2**64 - 1)], np.uint64).astype(np.int64)
-                        row = [len(found), int(two[0]), int(two[1]), minima.astype(np.uint16).tobytes(), _band_keys(minima)]
+                        row = [len(found), int(two[0]), int(two[1]), minima.astype(np.uint16).tobytes()]
                     for values, x in zip(out, row, strict=True):
                         values.append(x)
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))],
-                    ["doc_id", "n_shingles", "f1", "f2", "minima", "bands"],
+                    ["doc_id", "n_shingles", "f1", "f2", "minima"],
                 )
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, minima binary, bands array<long>")
+    return source.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, minima binary")
 
 
-def _alike(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Shares in which signatures agree, row by row."""
-    return (np.frombuffer(b"".join(a), np.uint16).reshape(len(a), -1) == np.frombuffer(b"".join(b), np.uint16).reshape(len(b), -1)).mean(axis=1)
+def _matrix(minima: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(minima), np.uint16).reshape(len(minima), MINIMA)
+
+
+def _banded(classes: DataFrame) -> DataFrame:
+    """Rows (node, key), one for each band of a class; a key holds its band's number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = _band_keys(_matrix(batch.column(1).to_pylist()))
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
+            keys = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), keys], ["node", "keys"])
+
+    return classes.select("node", "minima").mapInArrow(run, "node long, keys array<long>").select("node", F.explode("keys").alias("key"))
 
 
 def _by_signature(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and signatures allow the threshold."""
+    """Of the pairs (a, b) whose sizes and signatures allow the threshold, that of each b whose signatures agree best."""
     one = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("minima").alias("ma"))
     two = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("minima").alias("mb"))
     sized = pairs.join(one, "a").join(two, "b")
@@ -111,18 +124,18 @@ def _by_signature(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                share = _alike(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-                yield batch.select(["a", "b"]).filter(pa.array(share >= percent / 100 - SLACK))
+            share = (_matrix(batch.column(2).to_pylist()) == _matrix(batch.column(3).to_pylist())).mean(axis=1)
+            rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], ["a", "b", "share"])
+            yield rows.filter(pa.array(share >= percent / 100 - SLACK))
 
-    return sized.mapInArrow(run, "a long, b long")
+    found = sized.mapInArrow(run, "a long, b long, share double")
+    return found.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets meet the threshold. A text that many pairs share goes to several groups, each with some of them."""
     counts = pairs.groupBy("a").count()
     pairs = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("count") / VERIFY))).drop("count")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sides = pairs.select("a", "salt", F.lit(0).alias("side"), F.col("a").alias("id")).distinct().unionByName(
         pairs.select("a", "salt", F.lit(1).alias("side"), F.col("b").alias("id"))
     )
@@ -152,7 +165,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col:
 def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs of one bucket that lie in different components and whose sizes and signatures allow the threshold.
 
-    With `best_only`, of each class and component only the pair whose signatures agree best.
+    With `best_only`, of each class only the pair whose signatures agree best.
     """
     placed = buckets.select("key", "node").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y")
@@ -164,9 +177,10 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
 
     columns = ["key", "i", "j", "node", "component", "n_shingles", "own"]
 
-    def compare(key: int, across: bool, node, comp, size, own, minima, bands) -> np.ndarray:
-        """Pairs of one bucket's blocks; rows come by node."""
-        found = []
+    def compare(across: bool, node, comp, size, own, minima) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of one bucket's blocks and the shares in which they agree; rows come by node."""
+        one, two, shares = [], [], []
+        best, partner = np.zeros(len(node)), np.full(len(node), -1)
         for k in range(len(node) - 1):
             rest = slice(k + 1, None)
             fits = (node[rest] > node[k]) & (comp[rest] != comp[k])
@@ -174,20 +188,24 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
             if across:
                 fits &= own[rest] != own[k]
             at = k + 1 + np.flatnonzero(fits)
-            if not len(at):
-                continue
             share = (minima[at] == minima[k]).mean(axis=1)
             good = share >= percent / 100 - SLACK
             at, share = at[good], share[good]
-            # A pair that shares several buckets is told in that of the first band only.
-            common = bands[at] == bands[k]
-            here = bands[at, common.argmax(axis=1)] == key
-            at, share = at[here], share[here]
-            if best_only and len(at):
-                at = at[np.argsort(-share, kind="stable")]
-                at = at[np.unique(comp[at], return_index=True)[1]]
-            found.append(np.stack([np.full(len(at), node[k]), node[at]], axis=1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            if not len(at):
+                continue
+            if best_only:
+                more = share > best[at]
+                best[at[more]], partner[at[more]] = share[more], k
+                if share.max() > best[k]:
+                    best[k], partner[k] = share.max(), at[share.argmax()]
+            else:
+                one.append(np.full(len(at), k))
+                two.append(at)
+                shares.append(share)
+        if best_only:
+            at = np.flatnonzero(partner >= 0)
+            return at, partner[at], best[at]
+        return (np.concatenate(one), np.concatenate(two), np.concatenate(shares)) if one else (partner[:0], partner[:0], best[:0])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """The sorted rows again, cut only where a new pair of blocks begins."""
@@ -211,19 +229,28 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole(batches):
             key, i, j, node, comp, size, own = (rows.column(c).to_numpy() for c in columns)
-            minima = np.frombuffer(b"".join(rows.column("minima").to_pylist()), np.uint16).reshape(len(key), -1)
-            bands = pc.list_flatten(rows.column("bands")).to_numpy().reshape(len(key), -1)
+            minima = _matrix(rows.column("minima").to_pylist())
             new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-            ends, found = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)], []
+            ends = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)]
             for a, b in zip(ends, ends[1:], strict=False):
                 at = slice(a, b)
-                pairs = compare(key[a], i[a] != j[a], node[at], comp[at], size[at], own[at], minima[at], bands[at])
-                found.append(pairs)
-            pairs = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    rows = members.select(*columns, "minima", "bands").repartition("key", "i", "j")
-    return rows.sortWithinPartitions("key", "i", "j", "node").mapInArrow(run, "a long, b long").distinct()
+                one, two, share = compare(i[a] != j[a], node[at], comp[at], size[at], own[at], minima[at])
+                if len(one) and not best_only:
+                    # A pair that shares several buckets is told in that of the first band only.
+                    used, where = np.unique(np.concatenate([one, two]), return_inverse=True)
+                    bands = _band_keys(minima[at][used])
+                    mine, its = bands[where[: len(one)]], bands[where[len(one) :]]
+                    first = (mine == its).argmax(axis=1)
+                    here = mine[np.arange(len(one)), first] == key[a]
+                    one, two, share = one[here], two[here], share[here]
+                if len(one):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a + one]), pa.array(node[a + two]), pa.array(share)], ["a", "b", "share"])
+
+    rows = members.select(*columns, "minima").repartition("key", "i", "j")
+    told = rows.sortWithinPartitions("key", "i", "j", "node").mapInArrow(run, "a long, b long, share double")
+    if best_only:
+        told = told.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", "best.b")
+    return told.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -239,25 +266,32 @@ def near_duplicates(
     signed = stored(signatures(docs, words, id_col, text_col), "signatures")
     full = signed.filter("n_shingles > 0")
     classes = full.filter("doc_id is not null").groupBy("f1", "f2").agg(
-        F.min("doc_id").alias("node"), F.min_by(F.struct("n_shingles", "minima", "bands"), "doc_id").alias("own")
+        F.min("doc_id").alias("node"), F.min_by(F.struct("n_shingles", "minima"), "doc_id").alias("own")
     )
-    classes = stored(classes.select("f1", "f2", "node", "own.n_shingles", "own.minima", "own.bands"), "classes")
-    banded = classes.select("node", F.explode("bands").alias("key"))  # a key holds its band's number
+    classes = stored(classes.select("f1", "f2", "node", "own.n_shingles", "own.minima"), "classes")
+    banded = _banded(classes)
     least = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     buckets = stored(banded.join(least.select("key", "a"), "key"), "buckets")
-    met = stored(classes.select("node", "n_shingles", "minima", "bands").join(buckets.select("node").distinct(), "node", "left_semi"), "met")
+    # Only classes that meet another are ever compared or verified: their signatures and texts are picked once.
+    meeting = stored(buckets.select("node").distinct(), "meeting")
+    met = stored(picked(classes.select("node", "n_shingles", "minima"), "node", meeting), "met")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = stored(picked(texts, "id", meeting.select(F.col("node").alias("id"))), "texts")
     pairs = buckets.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
-    # Only classes that meet another are ever verified: their texts are picked once, by whichever join Spark finds fit for their number.
-    meeting = met.select(F.col("node").alias(id_col))
-    docs = stored(docs.select(F.col(id_col).cast("long").alias(id_col), text_col).join(meeting, id_col, "left_semi"), "texts")
-    links = stored(_verify(_by_signature(pairs, met, percent), docs, words, percent, id_col, text_col).distinct(), "links")
+    links = stored(_verify(_by_signature(pairs, met, percent), texts, words, percent).distinct(), "links")
     components = stored(connected_components(links), "components")
-    for best_only in (True, False):  # most of what is still apart is joined by the best pairs, so few pairs are left for the last look
+    best_only = True
+    while True:
         more = stored(_apart(buckets, components, met, percent, best_only), "apart")
-        if not more.isEmpty():
-            found = stored(_verify(more, docs, words, percent, id_col, text_col).distinct(), "links")
-            joined = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            components = stored(connected_components(joined.unionByName(found)), "components")
+        told = more.count()
+        if not told:
+            break
+        found = stored(_verify(more, texts, words, percent).distinct(), "links")
+        joined = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        components = stored(connected_components(joined.unionByName(found)), "components")
+        if not best_only:
+            break
+        best_only = found.count() * 10 >= told
     placed = classes.select("f1", "f2", "node").join(components, "node", "left")
     placed = placed.select("f1", "f2", F.coalesce("component", "node").alias("component_id"))
     result = full.select("doc_id", "n_shingles", "f1", "f2").join(placed, ["f1", "f2"], "left").select("doc_id", "n_shingles", "component_id")
@@ -273,7 +307,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     found = near_duplicates(docs, words, percent, id_col, text_col)
     drop = found.filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
     repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(id_col))
-    rest = docs.join(stored(drop, "dropped"), id_col, "left_anti")
+    rest = picked(docs, id_col, stored(drop, "dropped"), "left_anti")
     repeated = stored(repeated, "repeated")
     if repeated.isEmpty():
         return rest.select(docs.columns)

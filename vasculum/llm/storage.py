@@ -9,6 +9,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Whole numbers that may be broadcast: 16 MB at 16 bytes each.
+BROADCAST_IDS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def picked(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of `df` whose `column` is among the distinct values of `ids` (stored), or with left_anti those whose is not.
+
+    Up to BROADCAST_IDS counted values they are broadcast, so wide rows stay where they are; beyond, both sides are shuffled.
+    """
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, column, how)
+
+
 def in_parts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `most` bytes of the text or binary column each, one row at least: long texts bound memory too."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
