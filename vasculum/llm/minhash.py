@@ -3,8 +3,9 @@
 Documents with equal shingle sets form one class, found by a 128-bit fingerprint, and only classes go on.
 First every class is paired with that smallest class of its bands' buckets whose signature agrees best; full sets confirm,
 and alternating stars give components. Then the classes of a bucket that are still apart are compared with each other,
-inside the bucket and in blocks of bounded size. As long as that joins many, each class tells only its best pair; at last
-all pairs that are still apart are told, so nothing is lost to the choice of the smallest or the best.
+inside the bucket and in blocks of bounded size. As long as that joins many, each class tells only its best pair, and classes
+without one leave; at last all pairs that are still apart are compared by their sets' prints, so nothing is lost to the choice
+of the smallest or the best.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ BANDS, ROWS = 25, 5
 MINIMA, SLACK = 250, 0.127
 #: Classes of one bucket compared in one block, and links verified against one text in one group.
 BLOCK, VERIFY = 1_500, 100
+#: Shingles up to which a set has prints, 4 bytes each; pairs of larger sets are verified on signatures alone.
+PRINTS = 20_000
 PART_CHARS = 4_000_000
 _RANDOM = np.random.RandomState(20_011)
 _A = (_RANDOM.randint(0, 2**62, MINIMA, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -132,6 +135,27 @@ def _by_signature(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return found.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
 
 
+def _prints(texts: DataFrame, words: int) -> DataFrame:
+    """Rows (node, prints): the sorted upper halves of all shingle hashes of a text, empty beyond PRINTS shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in in_parts(batch, 1, PART_CHARS):
+                sets = (shingles(text, words) for text in rows.column(1).to_pylist())
+                halves = [(x >> np.uint64(32)).astype(np.uint32).tobytes() if len(x) <= PRINTS else b"" for x in sets]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(halves, pa.binary())], ["node", "prints"])
+
+    return texts.select("id", "text").mapInArrow(run, "node long, prints binary")
+
+
+def _may_share(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """If two sets can meet the threshold: prints in common are never fewer than common shingles."""
+    if not len(a) or not len(b):
+        return True
+    common = int((b[np.minimum(b.searchsorted(a), len(b) - 1)] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets meet the threshold. A text that many pairs share goes to several groups, each with some of them."""
     counts = pairs.groupBy("a").count()
@@ -162,14 +186,17 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percent: int, best_only: bool) -> DataFrame:
+def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percent: int, prints: DataFrame | None = None) -> DataFrame:
     """Pairs of one bucket that lie in different components and whose sizes and signatures allow the threshold.
 
-    With `best_only`, of each class only the pair whose signatures agree best.
+    With `prints`, all pairs whose prints allow it too; without, of each class only the pair whose signatures agree best.
     """
+    best_only = prints is None
     placed = buckets.select("key", "node").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y")
     members = placed.join(mixed.select("key", "n"), "key").join(classes, "node")
+    if not best_only:
+        members = members.join(prints, "node")
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
     members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -243,10 +270,13 @@ def _apart(buckets: DataFrame, components: DataFrame, classes: DataFrame, percen
                     first = (mine == its).argmax(axis=1)
                     here = mine[np.arange(len(one)), first] == key[a]
                     one, two, share = one[here], two[here], share[here]
+                    sets = [np.frombuffer(x.as_py(), np.uint32) for x in rows.column("prints").slice(a, b - a)]
+                    here = np.array([_may_share(sets[x], sets[y], percent) for x, y in zip(one, two, strict=True)], bool)
+                    one, two, share = one[here], two[here], share[here]
                 if len(one):
                     yield pa.RecordBatch.from_arrays([pa.array(node[a + one]), pa.array(node[a + two]), pa.array(share)], ["a", "b", "share"])
 
-    rows = members.select(*columns, "minima").repartition("key", "i", "j")
+    rows = members.select(*columns, "minima", *([] if best_only else ["prints"])).repartition("key", "i", "j")
     told = rows.sortWithinPartitions("key", "i", "j", "node").mapInArrow(run, "a long, b long, share double")
     if best_only:
         told = told.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", "best.b")
@@ -280,18 +310,22 @@ def near_duplicates(
     pairs = buckets.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
     links = stored(_verify(_by_signature(pairs, met, percent), texts, words, percent).distinct(), "links")
     components = stored(connected_components(links), "components")
-    best_only = True
+    prints, last = None, False
     while True:
-        more = stored(_apart(buckets, components, met, percent, best_only), "apart")
+        more = stored(_apart(buckets, components, met, percent, prints), "apart")
         told = more.count()
-        if not told:
-            break
-        found = stored(_verify(more, texts, words, percent).distinct(), "links")
-        joined = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        components = stored(connected_components(joined.unionByName(found)), "components")
-        if not best_only:
+        if told:
+            found = stored(_verify(more, texts, words, percent).distinct(), "links")
+            joined = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            components = stored(connected_components(joined.unionByName(found)), "components")
+        if last or not told:
             break
-        best_only = found.count() * 10 >= told
+        # A class that has told nothing and been told by none has no pair left; components only grow.
+        left = stored(more.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "left")
+        buckets = stored(picked(buckets, "node", left), "buckets")
+        last = found.count() * 10 < told
+        if last:
+            prints = stored(_prints(picked(texts, "id", left.select(F.col("node").alias("id"))), words), "prints")
     placed = classes.select("f1", "f2", "node").join(components, "node", "left")
     placed = placed.select("f1", "f2", F.coalesce("component", "node").alias("component_id"))
     result = full.select("doc_id", "n_shingles", "f1", "f2").join(placed, ["f1", "f2"], "left").select("doc_id", "n_shingles", "component_id")
