@@ -33,6 +33,9 @@ UNLIKELY = re.compile(
     r"social|sponsor|sponsored|subscribe|toolbar|widget|complementary)(?:[\s_-]|$)",
     re.IGNORECASE,
 )
+#: Siblings of the article with these elements are text whatever their length; others from so many characters. At most this share may be in links.
+PROSE = frozenset("p pre blockquote ul ol dl table figure".split())
+LONG, MOST_LINKED = 80, 0.3
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot caption html body".split())
 ENDS_SELF = {"li": "ul ol menu dir", "dt": "dl", "dd": "dl", "tr": "table", "td": "table tr", "th": "table tr", "option": "select"}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -176,16 +179,62 @@ def _blocks(nodes: list[_Node]) -> list[str]:
     return out
 
 
+def _text_and_links(nodes: list[_Node | str]) -> tuple[int, int, bool]:
+    """Characters of the nodes' text, those in links, and whether some stand in a paragraph, list or the like. Dropped nodes have none."""
+    size = link = 0
+    prose = False
+    stack = [(n, False, False) for n in nodes]
+    while stack:
+        node, linked, inside = stack.pop()
+        if isinstance(node, str):
+            n = len(" ".join(node.split()))
+            size, link, prose = size + n, link + n * linked, prose or (inside and n > 0)
+        elif not node.dropped:
+            linked, inside = linked or node.tag == "a", inside or node.tag in PROSE
+            stack.extend((c, linked, inside) for c in node.children)
+    return size, link, prose
+
+
+def _with_siblings(best: _Node) -> list[_Node | str]:
+    """The container and those siblings that hold article text too, in page order.
+
+    A sibling stays for its points, or if little of its text is in links and it is a paragraph, list or the like, holds one, or is long; text
+    and inline elements between blocks are a paragraph. A heading stays if something of its section, up to the next heading of its level
+    or above, does; if most of it is a link, only as an h1.
+    """
+    groups: list[list[_Node | str]] = []  # a block, or what stands between two
+    for c in best.parent.children:
+        block = isinstance(c, _Node) and (c is best or c.tag in BLOCKS)
+        if block or not groups or isinstance(groups[-1][0], _Node) and (groups[-1][0] is best or groups[-1][0].tag in BLOCKS):
+            groups.append([])
+        groups[-1].append(c)
+    need = 0.2 * best.points
+    level, keep = [], []
+    for own in groups:
+        head = own[0] if isinstance(own[0], _Node) else None
+        level.append(int(head.tag[1]) if head and head is not best and re.fullmatch("h[1-6]", head.tag) else 0)
+        size, link, prose = _text_and_links(own)
+        if level[-1]:
+            keep.append(bool(size) and (link <= 0.5 * size or level[-1] == 1))
+            continue
+        prose = prose or head is None or head.tag not in BLOCKS
+        scored = head is not None and not head.dropped and head.points >= need
+        keep.append(head is best or bool(size) and (scored or (link <= MOST_LINKED * size and (prose or size >= LONG))))
+    for k in range(len(groups) - 1, -1, -1):
+        if level[k] and keep[k]:
+            end = next((j for j in range(k + 1, len(groups)) if 0 < level[j] <= level[k]), len(groups))
+            keep[k] = any(keep[j] and not level[j] for j in range(k + 1, end))
+    return [c for own, stays in zip(groups, keep, strict=True) if stays for c in own]
+
+
 def main_text(html: str | None) -> str:
     """Main text of a page; empty if it has none. Malformed pages are read as far as they go."""
     if not html:
         return ""
     best = _score(_tree(html))
-    kept = [best]
-    if best.parent is not None:
-        need = max(10.0, 0.2 * best.points)
-        kept = [c for c in best.parent.children if c is best or (isinstance(c, _Node) and not c.dropped and c.points >= need)]
-    return "\n".join(_blocks(kept))
+    while best.parent is not None and _text_and_links([best.parent])[0] == _text_and_links([best])[0]:
+        best = best.parent  # a mere wrapper: the siblings stand beside it
+    return "\n".join(_blocks(_with_siblings(best) if best.parent is not None else [best]))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
