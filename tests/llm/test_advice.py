@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vasculum.llm import html_text
+from pyspark.sql import functions as F
+
+from vasculum.llm import html_text, language
 
 
 def test_html_keeps_siblings_of_the_article():
@@ -16,3 +18,16 @@ def test_html_keeps_siblings_of_the_article():
     ]
     for html, want in pages:
         assert html_text.main_text(html) == want
+
+
+def test_language_learns_from_distinct_texts(documents, monkeypatch):
+    texts = [f"the dog number {chr(97 + i % 26)}{chr(97 + i // 26)} sleeps here with the cat" for i in range(60)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    hot = [(1_000 + i, "zzz qqq xxx", "en") for i in range(300)]
+    want = language.learn_profiles(documents([*rows, hot[0]]), F.lit(True))
+    assert language.learn_profiles(documents(rows + hot), F.lit(True)) == want
+    monkeypatch.setattr(language, "LEARN_DOCUMENTS", 30)
+    drawn, langs = language._drawn(documents(rows + hot), F.lit(True), "text", "lang", language.LEARN_DOCUMENTS)
+    found = [r.text for r in drawn.collect()]
+    assert langs == ["en"] and len(found) == len(set(found)) and 10 <= len(found) <= 50
+    assert language.learn_profiles(documents(rows + hot), F.lit(True)) == language.learn_profiles(documents([*rows, hot[0]]), F.lit(True))

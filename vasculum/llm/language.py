@@ -54,21 +54,28 @@ def _ranked(text: str) -> np.ndarray:
     return grams[np.argsort(-counts, kind="stable")[:DOCUMENT_GRAMS]]
 
 
+def _drawn(docs: DataFrame, may_learn: Column, text_col: str, lang_col: str, most: int) -> tuple[DataFrame | None, list[str]]:
+    """(lang, text) of about `most` distinct texts of each language, drawn by their hash, one row each; and the languages. None if there are no rows."""
+    rows = docs.filter(may_learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")
+    )
+    counts = {r["lang"]: r["count"] for r in rows.select("lang", "hash").distinct().groupBy("lang").count().collect()}  # one row a language
+    if not counts:
+        return None, []
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, max(1, int(1e6 * most / n)))])
+    rows = rows.filter(F.pmod("hash", F.lit(1_000_000)) < share[F.col("lang")])
+    return rows.groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text"), list(counts)  # copies meet before the shuffle
+
+
 def learn_profiles(docs: DataFrame, may_learn: Column, text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
     """Profile of each language, learned from the rows where `may_learn` holds and neither text nor language is null.
 
-    About LEARN_DOCUMENTS documents a language are drawn by a hash of their text; n-grams are counted in the tasks,
-    summed by Spark, and only the profiles come to the driver. Ties go by n-gram. No rows give no profiles.
+    About LEARN_DOCUMENTS distinct texts a language are drawn by their hash, and each is counted once however many rows hold it; n-grams are
+    counted in the tasks, summed by Spark, and only the profiles come to the driver. Ties go by n-gram. No rows give no profiles.
     """
-    rows = docs.filter(may_learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
-    )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
-    if not counts:
+    rows, langs = _drawn(docs, may_learn, text_col, lang_col, LEARN_DOCUMENTS)
+    if rows is None:
         return {}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, max(1, int(1e6 * LEARN_DOCUMENTS / n)))])
-    rows = rows.filter(draw < share[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +90,7 @@ def learn_profiles(docs: DataFrame, may_learn: Column, text_col: str = "text", l
     sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     found = sums.withColumn("rank", rank).filter(F.col("rank") <= PROFILE_GRAMS).orderBy("lang", "rank").collect()
-    profiles: dict[str, list[int]] = {lang: [] for lang in sorted(counts)}
+    profiles: dict[str, list[int]] = {lang: [] for lang in sorted(langs)}
     for r in found:
         profiles[r["lang"]].append(r["gram"])
     return profiles
