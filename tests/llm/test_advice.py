@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from vasculum.llm import html_text, language
@@ -31,3 +33,18 @@ def test_language_learns_from_distinct_texts(documents, monkeypatch):
     found = [r.text for r in drawn.collect()]
     assert langs == ["en"] and len(found) == len(set(found)) and 10 <= len(found) <= 50
     assert language.learn_profiles(documents(rows + hot), F.lit(True)) == language.learn_profiles(documents([*rows, hot[0]]), F.lit(True))
+
+
+def test_pipeline_rejects_unlearned_languages(spark, documents):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    words = {
+        "en": "the dog and cat do not sleep here when they can run with their friends over there".split(),
+        "de": "der hund und die katze schlafen nicht wenn sie mit ihren freunden laufen dort".split(),
+    }
+    rows = [(i, " ".join(rng.choice(words[g]) for _ in range(40)), g) for i in range(200) for g in [("en", "de")[i % 2]]]
+    junk = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(400)), "xq zj kv " * 40, "мама мыла раму и пошла домой " * 8, " ".join("qxzjvkwpy"[k % 9] * 4 for k in range(90))]
+    docs = documents(rows + [(1_000 + i, t, None) for i, t in enumerate(junk)] + [(2_000, "the dog and the cat", None), (2_001, "hund", None)])
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()}
+    assert kept == {*range(200), 2_000, 2_001}
