@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from vasculum.llm import html_text, language
+from vasculum.llm import html_text, language, quality
 
 
 def test_html_keeps_siblings_of_the_article():
@@ -48,3 +48,17 @@ def test_pipeline_rejects_unlearned_languages(spark, documents):
     docs = documents(rows + [(1_000 + i, t, None) for i, t in enumerate(junk)] + [(2_000, "the dog and the cat", None), (2_001, "hund", None)])
     kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()}
     assert kept == {*range(200), 2_000, 2_001}
+
+
+def test_quality_learns_from_distinct_texts(spark, documents, monkeypatch):
+    rng = random.Random(10)
+    good = [" ".join(rng.choice(["plain", "words", "make", "prose", "here."]) for _ in range(60)) for _ in range(60)]
+    bad = [" ".join(rng.choice(["BUY!!", "$$$", "###", "NOW!!"]) for _ in range(60)) for _ in range(60)]
+    texts = good + bad + ["hot text, plain words here."] * 400
+    docs = documents([(i, t, "en") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)] + [(i, int(i < 220)) for i in range(120, 520)], "doc_id long, quality int")
+    voter = quality.learn(docs, labels, F.lit(True))
+    assert len(voter.labels) == 121 and sorted(set(voter.labels.tolist())) == [0, 0.25, 1]
+    monkeypatch.setattr(quality, "LEARN_DOCUMENTS", 20)
+    voter = quality.learn(docs, labels, F.lit(True))
+    assert 39 <= len(voter.labels) <= 40 and 19 <= (voter.labels == 1).sum() <= 20

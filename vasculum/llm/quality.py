@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vasculum.llm.storage import in_parts
+from vasculum.llm.storage import in_parts, stored
 
-#: About so many labelled documents of each label are learned from, drawn by a hash of text: bounds the model and what the driver gathers.
+#: At most so many distinct labelled texts of each label are learned from, drawn by a hash of text: bounds the model and what the driver gathers.
 LEARN_DOCUMENTS = 1_500
 LATENT, NEIGHBOURS, BLOCK = 40, 25, 512
 #: Term slots: hashed letter trigrams, hashed trigrams of character kinds, repetition.
@@ -105,28 +105,38 @@ class Voter:
 def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> Voter | None:
     """Model from the labelled rows where `may_learn` holds; None if there are none.
 
-    Rows without text, id or label teach nothing. About LEARN_DOCUMENTS documents of each label are drawn by a hash of their text, so
-    at most some 3,000 term vectors come to the driver. A document that is labelled twice counts twice.
+    Rows without text, id or label teach nothing. Rows are first summed by text hash and label, so that a text counts once however many rows hold it; one
+    that bears both labels votes for each by its share of them. Of each label, the LEARN_DOCUMENTS distinct texts of the least hashes are taken, so at most
+    2 x LEARN_DOCUMENTS term vectors come to the driver.
     """
     marks = labels.select(F.col(id_col).alias("mark_id"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)")
-    rows = docs.filter(may_learn & (F.length(text_col) > 0)).select(F.col(id_col).alias("mark_id"), F.col(text_col).alias("text"))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    counts = {r["quality"]: r["count"] for r in marks.groupBy("quality").count().collect()}  # two rows
-    if not counts:
+    rows = docs.filter(may_learn & (F.length(text_col) > 0)).select(F.col(id_col).alias("mark_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
+    summed = rows.select("mark_id", "hash").join(marks, "mark_id").groupBy("hash").agg(
+        F.min("mark_id").alias("mark_id"), *[F.sum(F.when(F.col("quality") == k, 1).otherwise(0)).alias(f"n{k}") for k in (0, 1)]
+    )
+    summed = stored(summed, "labelled-texts")  # four numbers a text
+    counts = summed.agg(*[F.sum((F.col(f"n{k}") > 0).cast("long")).alias(f"n{k}") for k in (0, 1)]).first()
+    draw = F.pmod("hash", F.lit(1_000_000))
+    drawn = {}
+    for k in (0, 1):
+        # Twice the share, then exactly the least: few rows meet in the sort, and the bound holds whatever the hashes are.
+        near = summed.filter((F.col(f"n{k}") > 0) & (draw < max(1_000, int(2e6 * LEARN_DOCUMENTS / max(counts[f"n{k}"] or 0, 1)))))
+        drawn |= {r["hash"]: r for r in near.orderBy(draw, "hash").limit(LEARN_DOCUMENTS).collect()}
+    if not drawn:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, max(1, int(1e6 * LEARN_DOCUMENTS / n)))])
-    most = max(1, int(1e6 * LEARN_DOCUMENTS / min(counts.values())))
-    rows = rows.filter(draw < most).withColumn("draw", draw)  # before the join, so that few texts move
-    rows = rows.join(marks, "mark_id").filter(F.col("draw") < share[F.col("quality")]).select("text", "quality")
+    picked = docs.sparkSession.createDataFrame([(r["mark_id"], h) for h, r in drawn.items()], summed.select("mark_id", "hash").schema)
+    rows = rows.join(F.broadcast(picked), ["mark_id", "hash"]).groupBy("hash").agg(F.min("text").alias("text"))  # an id and its text may be repeated
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms = [term_vector(t.as_py()).tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), batch.column(1)], ["terms", "quality"])
-
-    found = sorted((bytes(r["terms"]), r["quality"]) for r in rows.mapInArrow(run, "terms binary, quality int").collect())
-    if not found:
-        return None
+            terms = [term_vector(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.binary())], ["hash", "terms"])
+
+    found = []
+    for r in rows.mapInArrow(run, "hash long, terms binary").collect():
+        n = drawn[r["hash"]]
+        found.append((bytes(r["terms"]), n["n1"] / (n["n0"] + n["n1"])))
+    found.sort()
     return Voter(np.stack([np.frombuffer(t, np.float32) for t, _ in found]), np.array([q for _, q in found]))
 
 
