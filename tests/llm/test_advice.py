@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from vasculum.llm import html_text, language, quality
+from vasculum.llm import html_text, language, licences, quality
 
 
 def test_html_keeps_siblings_of_the_article():
@@ -62,3 +63,31 @@ def test_quality_learns_from_distinct_texts(spark, documents, monkeypatch):
     monkeypatch.setattr(quality, "LEARN_DOCUMENTS", 20)
     voter = quality.learn(docs, labels, F.lit(True))
     assert 39 <= len(voter.labels) <= 40 and 19 <= (voter.labels == 1).sum() <= 20
+
+
+def test_licences_wrapped_over_lines(documents):
+    templates = dict((label, text) for text, label in licences.TEMPLATES)
+    rng = random.Random(11)
+    rows = [(i, "\n".join(" * " + " ".join(text.title().split()[k : k + 4]) for k in range(0, 30, 4)), "en") for i, text in enumerate(templates.values())]
+    scattered = " ".join(w + " filler" * 20 for w in "released under the mit license".split())
+    rows += [(50, scattered, "en"), (51, "filler " * 500 + rows[1][1] + " filler" * 500, "en"), (52, None, "en"), (53, "", "en")]
+    pool = sorted({w for text in templates.values() for w in text.split()}) + ["other", "words"]
+    for i in range(60, 90):
+        words = " ".join(rng.choice(pool) for _ in range(40)) + "\n" + " ".join(w for w in rng.choice(licences.TEMPLATES)[0].split() for w in [w] * rng.choice([0, 1, 1, 1, 1, 2]))
+        rows.append((i, words + "\n" + " ".join(rng.choice(pool) for _ in range(40)), "en"))
+    found = {r.doc_id: r for r in licences.scan(documents(rows), windows=True).collect()}
+    phrases = {tuple(p.split()): v for p, v in licences.PHRASES.items()}
+    for i, text, _ in rows:
+        words = re.findall("[0-9a-z]+", (text or "").lower())
+        labels = {v for p, v in phrases.items() for k in range(len(words)) if tuple(words[k : k + len(p)]) == p}
+        best = 1.0 if labels else 0.0
+        for template, label in licences.TEMPLATES:
+            tokens, width = set(template.split()), licences.WIDTH * len(template.split())
+            share = max((len(tokens & set(words[k : k + width])) / len(tokens) for k in range(len(words))), default=0.0)
+            if share >= 0.8:
+                labels.add(label)
+                best = max(best, share)
+        assert found[i].labels == ",".join(sorted(labels)) and abs(found[i].score - best) < 1e-9, i
+    for i, label in enumerate(templates):
+        assert label in found[i].labels.split(",")
+    assert found[50].labels == ""

@@ -29,6 +29,8 @@ TEMPLATES = [
     ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
+#: Words of a window for each word of its template.
+WIDTH = 2
 #: Between words, once A-Z are lower case; WORD also takes A-Z, for texts as they are.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -88,12 +90,55 @@ def _matches(block: Column, order: list[str], templates: list[tuple[str, str]],
     return F.flatten(F.transform(F.array(mine), match))
 
 
+def _window_matches(words: Column, order: list[str], templates: list[tuple[str, str]], threshold: float) -> Column:
+    """(label, containment) of the templates that a window of a text's words contains, by the same filters as for a line.
+
+    A window has WIDTH times as many words as the template, and one begins at every word, so line breaks do not matter. A window with enough of a
+    template holds a word of its prefix: only windows that reach one are compared, each for the first that it reaches.
+    """
+    rank = {w: k for k, w in enumerate(order)}
+
+    def one(words: Column, own: Column, hits: Column, text: str, label: str) -> Column:
+        """Array of the template's match, empty without one. What is used twice is bound by a lambda, or it would be worked out twice."""
+        tokens = sorted(set(text.split()), key=rank.__getitem__)
+        need = math.ceil(threshold * len(tokens) - 1e-9)
+        prefix, everything = F.array(*map(F.lit, tokens[: len(tokens) - need + 1])), F.array(*map(F.lit, tokens))
+        width = WIDTH * len(text.split())
+
+        def best(near: Column) -> Column:
+            def from_hit(i: Column, k: Column) -> Column:
+                start = F.greatest(i - (width - 1), F.coalesce(F.get(near, k - 1) + 1, F.lit(0)), F.lit(0))
+                return F.array_max(F.transform(F.sequence(start, i), lambda s: F.size(F.array_intersect(F.slice(words, s + 1, width), everything))))
+
+            return F.array_max(F.transform(near, from_hit))
+
+        near = F.filter(hits, lambda i: F.array_contains(prefix, F.get(words, i)))
+        most = F.filter(F.transform(F.array(near), best), lambda n: n >= need)
+        found = F.transform(most, lambda n: F.struct(F.lit(label).alias("label"), (n / len(tokens)).alias("share")))
+        return F.when(F.size(F.array_intersect(own, everything)) >= need, found).otherwise(F.array().cast("array<struct<label:string,share:double>>"))
+
+    def match(both: Column) -> Column:
+        return F.flatten(F.array(*[one(both["words"], both["own"], both["hits"], *t) for t in templates]))
+
+    prefixes = set()
+    for text, _ in templates:
+        tokens = sorted(set(text.split()), key=rank.__getitem__)
+        prefixes.update(tokens[: len(tokens) - math.ceil(threshold * len(tokens) - 1e-9) + 1])
+    listed = F.array(*map(F.lit, sorted(prefixes)))
+    hits = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(listed, w), i)), lambda i: i.isNotNull())
+    both = F.struct(words.alias("words"), F.array_intersect(words, F.array(*map(F.lit, order))).alias("own"), hits.alias("hits"))
+    return F.flatten(F.transform(F.array(both), match))
+
+
 def scan(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+    windows: bool = False,
 ) -> DataFrame:
     """Rows (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), one for each document.
 
-    A block is a line; it matches a template if it has a share of at least `threshold` of the template's distinct words. score is the greatest such share, 1
+    A block is a line or, with `windows`, a window of WIDTH times the template's number of words at any place of the whole text, so that notices that are
+    wrapped over lines are found and words scattered over a long line are not. It matches a template if it has a share of at least `threshold` of the
+    template's distinct words. score is the greatest such share, 1
     if a base phrase occurs, else 0. A null or empty text has no words, no labels (empty strings) and score 0. Repeated rows are judged alike; other
     columns are ignored; no rows give no rows.
     """
@@ -110,11 +155,17 @@ def scan(
     none = F.array().cast("array<int>")
     places = F.concat(*[F.coalesce(f"p{k}", none) for k in range(len(PHRASES))])
     labels = F.array_compact(F.array(*[F.when(F.size(F.coalesce(f"p{k}", none)) > 0, F.lit(v)) for k, v in enumerate(PHRASES.values())]))
-    blocks = F.filter(F.split("text", "\n"), lambda x: _has_word(x, list(prefixes)))
-    rows = rows.select("doc_id", "n_words", places.alias("places"), labels.alias("base"), blocks.alias("blocks"))
-    rows = rows.withColumn("tokens", F.transform("blocks", _words)).drop("blocks")
-    found = F.flatten(F.transform("tokens", lambda b: _matches(b, order, templates, threshold)))
-    rows = rows.withColumn("found", found)
+    rows = rows.select("*", places.alias("places"), labels.alias("base"))
+    if windows:
+        edge = "[0-9A-Za-z\\x80-\\x{10FFFF}]"
+        may = F.col("text").rlike(f"(?i)(?<!{edge})(?:{'|'.join(sorted(prefixes))})(?!{edge})")
+        rows = rows.withColumn("words", F.when(may, F.coalesce("words", _words(F.col("text")))))
+        rows = rows.withColumn("found", F.when(F.col("words").isNotNull(), _window_matches(F.col("words"), order, templates, threshold)))
+        rows = rows.withColumn("found", F.coalesce("found", F.array().cast("array<struct<label:string,share:double>>")))
+    else:
+        blocks = F.filter(F.split("text", "\n"), lambda x: _has_word(x, list(prefixes)))
+        rows = rows.withColumn("tokens", F.transform(blocks, _words))
+        rows = rows.withColumn("found", F.flatten(F.transform("tokens", lambda b: _matches(b, order, templates, threshold))))
     best = F.coalesce(F.array_max(F.transform("found", lambda x: x["share"])), F.lit(0.0))
     return rows.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),

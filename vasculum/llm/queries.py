@@ -108,7 +108,7 @@ def op9_divergence(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and notices of every document."""
-    return licences.scan(_table(spark, folder, "documents"))
+    return licences.scan(_table(spark, folder, "documents"), windows=True)
 
 
 QUERIES = {
