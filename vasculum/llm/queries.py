@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vasculum.llm import divergence, dropout, html_text, language, lattice, licences, minhash, packing, preferences, quality
+from vasculum.llm import divergence, dropout, html_text, language, lattice, licences, minhash, mixing, packing, prefix_trie, preferences, quality, ranking
 
 #: Parameters of the queries.
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -111,6 +111,21 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(_table(spark, folder, "documents"), windows=True)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.conversation_trie(_table(spark, folder, "conversations")).drop("name")
+
+
+def op12_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    return ranking.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words the mix takes from every document."""
+    return mixing.mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -122,5 +137,8 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_divergence": op9_divergence,
     "op10_licences": op10_licences,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_ranking": op12_ranking,
+    "op13_mixing": op13_mixing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_prefix_trie": prefix_trie.SQL, "op12_ranking": ranking.SQL, "op13_mixing": mixing.SQL}
