@@ -26,8 +26,10 @@ from vasculum.llm.storage import in_parts, stored
 PART_BYTES = 2_000_000
 #: Characters of the items of a block, on average; a block's terms and items are broadcast.
 ITEM_CHARS = 4_000_000
-#: Documents of a bucket of vector lengths, and the fewest buckets.
-BUCKET_ROWS, LEAST_BUCKETS = 50_000, 16
+#: Documents of a bucket of vector lengths, and the fewest and most buckets. A bucket lies in files of FILE_ROWS documents or more, so that
+#: its search is spread over tasks too; there are some MOST_FILES files at most.
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 50_000, 16, 20_000
+FILE_ROWS, MOST_FILES = 1_000, 100_000
 #: Documents that are bounded together inside a bucket: at first, and at most.
 FIRST_SLICE, LAST_SLICE = 256, 4_096
 #: The coordinates of an item that are added up before the rest is bounded hold this share of its squared length.
@@ -220,12 +222,12 @@ def _rank_block(docs: DataFrame, items: Items, top: int, id_col: str, text_col:
     terms = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # terms of one block of items
     items.weigh(documents, {r["term"]: r["count"] for r in terms})
 
-    wanted = max(LEAST_BUCKETS, -(-documents // BUCKET_ROWS))
+    wanted = min(max(LEAST_BUCKETS, -(-documents // BUCKET_ROWS)), MOST_BUCKETS)
     lengths = _with_length(vectors.filter(F.size("terms") > 0), documents, words)
     # Equal lengths are dealt by a hash, so that copies do not fill one bucket.
     buckets = lengths.withColumn("deal", F.xxhash64("doc_id", "n")).repartitionByRange(wanted, F.desc("length"), "deal")
     buckets = buckets.sortWithinPartitions(F.desc("length")).withColumn("bucket", F.spark_partition_id())
-    buckets = stored(buckets.drop("deal"), "buckets")
+    buckets = stored(buckets.drop("deal"), "buckets", max(FILE_ROWS, documents // MOST_FILES))
     longest = {r["bucket"]: r["longest"] for r in buckets.groupBy("bucket").agg(F.max("length").alias("longest")).collect()}  # one row a bucket
     best, least = None, np.zeros(len(items.lengths), np.int64)
     first, count = 0, 1

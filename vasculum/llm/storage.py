@@ -21,15 +21,15 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df`, written as Parquet to a new shared folder and read again.
+def stored(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """`df`, written as Parquet to a new shared folder and read again, in files of `file_rows` rows at most if that is not 0.
 
     Cuts the lineage: lost executors read the files instead of computing anew, and what is
     not deterministic (row numbers) is fixed. The folder is the caller's to clear after the job.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", file_rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
