@@ -21,10 +21,3 @@ def spark():
     yield session
     session.stop()
 
-
-@pytest.fixture
-def hot(spark):
-    """Treat every group above five rows as hot."""
-    spark.conf.set("spark.vasculum.groupRows", "5")
-    yield
-    spark.conf.unset("spark.vasculum.groupRows")

@@ -1,7 +1,9 @@
-"""Hot groups: the spread-out way must give what the simple way gives."""
+"""Hot groups, cut over many small tasks and batches, must give what large ones give, and what plain SQL gives."""
 
 import random
+from contextlib import contextmanager
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,12 +11,29 @@ from vasculum.operators import rules as R
 from vasculum.operators.dedup import dedup_master, dedup_raw
 from vasculum.operators.filters import require
 from vasculum.operators.groups import crossfill, is_duplicate, number_in_group, with_group_values
-from vasculum.operators.merge import expert_first, merge_group, newest_first
-from vasculum.operators.premerge import present
+from vasculum.operators.merge import const, expert_first, first, join, join_or_null, last, mean, merge_group, newest_first, size, variance
+from vasculum.operators.premerge import present, set_fingerprint
 from vasculum.schema import NUMBERED_KEYS
 from workload.view import ORDER, specimens
 
 FOLDER = "/root/testdata/sf0.001"
+SMALL = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "7", "spark.sql.shuffle.partitions": "13",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@contextmanager
+def small_pieces(spark):
+    """Many tasks of few rows, in batches of seven rows, so that groups lie on several of them."""
+    before = {k: spark.conf.get(k) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def same(a, b):
@@ -41,11 +60,8 @@ def third_in_one(spark):
 
 def both_ways(spark, make):
     usual = make().collect()
-    spark.conf.set("spark.vasculum.groupRows", "5")
-    try:
+    with small_pieces(spark):
         spread = make().collect()
-    finally:
-        spark.conf.unset("spark.vasculum.groupRows")
     assert sorted(map(str, usual)) == sorted(map(str, spread))
     return usual
 
@@ -84,21 +100,54 @@ def test_merge(spark):
     assert len(merged) == df.select("sufix", "country_iso3").distinct().count()
 
 
-def test_cells_are_whole(spark, hot):
+def test_cells_are_whole(spark):
     df = specimens(spark, FOLDER)
     order = [F.col(c) for c in ORDER]
-    records = merge_group(df, ["source_id"], order, present(df, R.raw_merge(), ORDER))
+    with small_pieces(spark):
+        records = merge_group(df, ["source_id"], order, present(df, R.raw_merge(), ORDER))
     found = records.select(F.explode(F.split("barcode", ", ")).alias("barcode"))
     every = df.filter("barcode is not null").select(F.explode(F.split("barcode", ", ")).alias("barcode"))
     same(found, every)
 
 
-def test_slices_with_an_outlier(spark, hot):
-    rows = [("a", i if i < 400 else 10**12, i, "x" if i % 7 == 0 else None) for i in range(401)]
+def test_a_third_of_the_rows_under_one_key_equals_sql(spark, tmp_path):
+    """300,000 rows: every kind of rule, an order of its own, and cells of 100,000 values."""
+    rows = spark.range(300_000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 4_001)).alias("k"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("v"), F.col("id") % 13)).alias("v"), F.concat(F.lit("w"), F.col("id") % 5).alias("w"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 100 / 7).alias("x"), ((F.col("id") * 7_919) % 300_007).alias("other"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    table = {
+        "k": first(), "first": first("v"), "last": last("v"), "far": first("v", [F.col("other")]), "some": join(", ", "v"), "all": join_or_null(", ", "w"),
+        "none": join_or_null(", ", "v"), "mean": mean("x"), "spread": variance("x"), "rows": size(), "fixed": const("c"),
+    }
+    got = merge_group(df.repartition(17), ["k"], [F.col("id")], table)
+    got = {r.k: (r["first"], r["last"], r.far, r.some, r["all"], r.none, round(r.mean, 6), None if r.spread is None else round(r.spread, 6), r.rows, r.fixed) for r in got.collect()}
+    want = duckdb.sql(f"""select k, first(v order by id) filter (where v is not null), last(v order by id) filter (where v is not null),
+      first(v order by other) filter (where v is not null), string_agg(v, ', ' order by id), string_agg(w, ', ' order by id),
+      case when count(v) = count(*) then string_agg(v, ', ' order by id) end, round(avg(x), 6), round(var_samp(x), 6), count(*), 'c'
+      from read_parquet('{tmp_path}/rows/*.parquet') group by k""").fetchall()
+    assert len(got) == len(want) and got[None][8] == 100_000
+    for k, *values in want:
+        assert list(got[k][:6]) == values[:6] and list(got[k][8:]) == values[8:]
+        assert got[k][6] == pytest.approx(values[6], abs=2e-6) and got[k][7] == pytest.approx(values[7], abs=2e-6)
+
+
+def test_merging_nothing(spark):
+    df = spark.createDataFrame([], "id long, k string, v string")
+    assert merge_group(df, ["k"], [F.col("id")], {"k": first(), "v": join(", ")}).count() == 0
+    assert crossfill(df, ["k"], ["v"], ["id"]).count() == 0 and number_in_group(df, ["k"], ["id"], "n").count() == 0
+
+
+def test_runs_over_many_tasks(spark):
+    rows = [("a" if i < 390 else None, i if i < 400 else 10**12, i, "x" if i in (150, 300, 395) else None) for i in range(401)]
     df = spark.createDataFrame(rows, "k string, id long, n long, x string")
-    numbered = {r["n"]: r["number"] for r in number_in_group(df, ["k"], ["id"], "number").collect()}
-    assert numbered == {i: i + 1 for i in range(401)}
-    filled = {r["n"]: r["x"] for r in crossfill(df, ["k"], ["x"], ["id"]).collect()}
+    with small_pieces(spark):
+        numbered = {r["n"]: r["number"] for r in number_in_group(df, ["k"], ["id"], "number").collect()}
+        filled = {r["n"]: r["x"] for r in crossfill(df, ["k"], ["x"], ["id"]).collect()}
+    assert numbered == {i: i + 1 if i < 390 else i - 389 for i in range(401)}
     assert set(filled.values()) == {"x"}
 
 
@@ -121,13 +170,10 @@ def test_dedup_hot(spark, which):
 
     usual = run()
     clean, bad = usual.clean, usual.quarantine
-    spark.conf.set("spark.vasculum.groupRows", "5")
-    try:
+    with small_pieces(spark):
         spread = run()
         same(clean, spread.clean)
         same(bad, spread.quarantine)
-    finally:
-        spark.conf.unset("spark.vasculum.groupRows")
 
 
 def test_dedup_properties(spark):
@@ -167,3 +213,10 @@ def test_raw_merge_fixture(spark):
     assert out.clean.count() == 0 and out.quarantine.count() == 2
     (filled,) = run([rows[0], rows[1][:10] + (None, None, None)]).clean.collect()
     assert filled.ddlat == 1.0
+
+
+def test_fingerprints_tell_sets_apart(spark):
+    sets = [["a"], ["b"], ["a", "b"], [], ["a", "c"], ["b", "c"], ["a", "b", "c"], [f"x{i}" for i in range(5_000)], [f"x{i}" for i in range(4_999)]]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)] + [(100 + i, s[::-1]) for i, s in enumerate(sets)], "id int, codes array<string>")
+    prints = {r.id: (r._set_size, r._set_a, r._set_b) for r in df.withColumns(set_fingerprint(F.col("codes"))).collect()}
+    assert len(set(prints.values())) == len(sets) and all(prints[i] == prints[100 + i] for i in range(len(sets)))

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vasculum.functions.values import degrees, strip_open_nomenclature
 from vasculum.operators import rules as R
 from vasculum.operators.filters import clear_surname_prefix
-from vasculum.operators.groups import (
-    crossfill, fill_in_window, materialise, split_hot, with_group_values,
-)
+from vasculum.operators.groups import attach, crossfill, with_group_values
 from vasculum.operators.merge import (
     Rule, ascending_nulls_last, expert_first, first, mean, merge_group,
-    newest_first, size, variance,
+    newest_first, variance,
 )
 from vasculum.schema import COORDINATE_VARIANCE, GATHERING_KEYS
 
@@ -28,17 +26,11 @@ class Deduplicated(NamedTuple):
     quarantine: DataFrame
 
 
-def _reconcile(
-    df: DataFrame, keys: list[str], order: list[str], in_place: bool, fill: bool, masked: bool
-) -> DataFrame:
+def _reconcile(df: DataFrame, keys: list[str], order: list[str], fill: bool, masked: bool) -> DataFrame:
     """Add the size of each row's duplicate group (`_n`) and copy missing coordinates
     between duplicates of one gathering. With `masked`, a coordinate flagged in
     `geo_issues` is used only when no duplicate has a better one."""
-    members = F.count(F.lit(1))
-    if in_place:
-        out = df.withColumn("_n", members.over(W.partitionBy(*keys)))
-    else:
-        out = materialise(with_group_values(df, keys, {"_n": members}))
+    out = with_group_values(df, keys, {"_n": F.count(F.lit(1))})
     if not fill:
         return out
     usable = F.col("_n") > 1
@@ -49,11 +41,7 @@ def _reconcile(
         "_dup", F.col("_n") > 1
     )
     names = ["_f_" + c for c in COORDINATES]
-    within = [*GATHERING_KEYS, "_dup"]
-    if in_place:
-        out = out.withColumns({c: fill_in_window(F.col(c), within, order) for c in names})
-    else:
-        out = materialise(crossfill(out, within, names, order))
+    out = crossfill(out, [*GATHERING_KEYS, "_dup"], names, order)
     return out.withColumns(
         {c: F.coalesce(F.when(F.col("_dup"), F.col("_f_" + c)), F.col(c)) for c in COORDINATES}
     ).drop("_dup", *names)
@@ -69,35 +57,17 @@ def _deduplicate(
     df: DataFrame, keys: list[str], order: list[str], table: dict[str, Rule],
     merge_order: list[Column], fill: bool, masked: bool, lookup: dict[str, Column] | None = None,
 ) -> Deduplicated:
-    shared = [k for k in keys if k in GATHERING_KEYS] if fill else list(keys)
-    # All windows and the merge use supersets of `shared`, so ordinary rows move once.
-    # Without shared keys every step finds its own layout.
-    usual, hot, _ = split_hot(df, shared) if shared else (None, df, None)
-    spread = {"_var_" + c: variance(c) for c in COORDINATES} if fill else {}
-    results = []
-    for rows, in_place in ((usual, True), (hot, False)):
-        if rows is None:
-            continue
-        laid_out = rows.repartition(*shared) if in_place else rows
-        ready = _reconcile(laid_out, keys, order, in_place, fill, masked)
-        if lookup:
-            ready = ready.withColumns(lookup)
-        partition_by = shared if in_place else None
-        merged = merge_group(ready, keys, merge_order, table | spread, partition_by)
-        clean = merged.filter(_agrees()).drop(*spread) if fill else merged
-        by_group = {"_var_" + c: F.var_samp(c) for c in COORDINATES}
-        if not fill:
-            bad = ready.limit(0)
-        elif in_place:
-            group = W.partitionBy(*keys)
-            bad = ready.withColumns({n: a.over(group) for n, a in by_group.items()}).filter(~_agrees())
-        else:
-            bad = with_group_values(ready, keys, by_group).filter(~_agrees())
-        results.append((clean, bad.select(*df.columns)))
-    clean, bad = results[0]
-    for more in results[1:]:
-        clean, bad = clean.unionByName(more[0]), bad.unionByName(more[1])
-    return Deduplicated(clean, bad)
+    ready = _reconcile(df, keys, order, fill, masked)
+    if lookup:
+        ready = ready.withColumns(lookup)
+    if not fill:
+        return Deduplicated(merge_group(ready, keys, merge_order, table), df.limit(0))
+    spread = {"_var_" + c: variance(c) for c in COORDINATES}
+    named = {"_key_" + k: first(k) for k in keys}
+    merged = merge_group(ready, keys, merge_order, table | spread | named)
+    apart = merged.filter(~_agrees()).select(*[F.col("_key_" + k).alias(k) for k in keys])
+    bad = attach(ready, apart, keys, "left_semi")
+    return Deduplicated(merged.filter(_agrees()).drop(*spread, *named), bad.select(*df.columns))
 
 
 def _other_columns(df: DataFrame, keys: list[str], table: dict[str, Rule], kept: list[str]) -> dict[str, Rule]:
@@ -155,7 +125,7 @@ def dedup_master(
     kept = [*order, *keep]
     if not unique_barcodes:
         table = _other_columns(df, ["barcode"], R.barcode_merge(expert), [*kept, "orig_recby", "modified", "geo_issues"])
-        df = materialise(merge_group(df, ["barcode"], expert_then_newest, table))
+        df = merge_group(df, ["barcode"], expert_then_newest, table)
     df = df.withColumns({c: degrees(F.col(c)) for c in COORDINATES})
     named = ["accepted_name", "genus", "specific_epithet", "status", "ipni_no"]
     kept_table = _other_columns(df, keys, R.key_merge(), ["orig_recby", *kept])
@@ -171,7 +141,7 @@ def dedup_master(
     df = df.withColumn("_expert", F.col("expert_det").isNotNull())
     sided = merge_group(df, [*keys, "_expert"], by_status, kept_table | {"_expert": first()})
     both = _other_columns(sided, keys, R.expert_over_master_merge(), ["orig_recby", *kept])
-    merged = merge_group(materialise(sided), keys, [~F.col("_expert"), *map(F.col, order)], both)
+    merged = merge_group(sided, keys, [~F.col("_expert"), *map(F.col, order)], both)
     return Deduplicated(merged.withColumn("modified", stamp), df.drop("_expert").limit(0))
 
 

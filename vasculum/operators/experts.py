@@ -10,8 +10,8 @@ from vasculum.functions.values import tokens_of
 from vasculum.operators import rules as R
 from vasculum.operators.filters import clear_surname_prefix, require, split_usable_key
 from vasculum.operators.groups import materialise, number_in_group, with_group_values
-from vasculum.operators.merge import ascending_nulls_last, const, first, merge_group, newest_first
-from vasculum.operators.premerge import explode_barcodes, merge_exploded, present
+from vasculum.operators.merge import ascending_nulls_last, first, merge_group, newest_first
+from vasculum.operators.premerge import explode_barcodes, merge_sets, present
 from vasculum.schema import DEFAULT_SEPARATOR, EXPERT_KEYS
 
 
@@ -59,12 +59,9 @@ def integrate_expert(
     coded = both.filter(F.col("barcode_split").isNotNull())
     single = present(coded, R.expert_barcode_merge(with_coordinates), [*order, *keep, "barcode_split"])
     by_barcode = merge_group(coded, ["barcode_split"], rank, single)
-    by_barcode = materialise(
-        by_barcode.withColumn("barcode", F.array_join(F.array_sort(tokens_of(F.col("barcode"), DEFAULT_SEPARATOR)), DEFAULT_SEPARATOR))
-    )
-    whole = present(by_barcode, R.expert_set_merge(), [*order, *keep]) | {"barcode": first()}
-    merged = merge_group(by_barcode, ["barcode"], [*rank, F.col("barcode_split")], whole)
-    merged = materialise(merged.unionByName(no_barcode.select(*merged.columns)))
+    whole = present(by_barcode, R.expert_set_merge(), [*order, *keep])
+    merged = merge_sets(by_barcode, [*rank, F.col("barcode_split")], whole)
+    merged = merged.unionByName(no_barcode.select(*merged.columns))
 
     usable, others = split_usable_key(merged)
     sides = {

@@ -1,37 +1,33 @@
 """Operators over groups of rows that survive one group holding much of the table.
 
-A group of ordinary size is handled by one task, with windows. A group above
-`group_rows` rows (session setting `spark.vasculum.groupRows`) is never gathered:
-its values come from aggregates, which Spark reduces on the map side first, and
-its order-dependent steps run on slices of the group. Both ways give the same
-result.
-
-However many groups are hot, their keys stay a table that is joined; nothing is
-collected, and whether a join is broadcast is left to measured sizes.
+What does not depend on the order of rows is an aggregate, which Spark reduces on the map side, joined back to
+the rows; adaptive execution splits the join where a key is hot.
+
+What depends on order is one scan: rows are laid out by ranges of key and order and sorted, so that a group is a run of
+neighbouring rows, and a run of any length goes on from task to task. A first pass notes what the tasks' first and last runs
+hold, two rows a task; carried from task to task, this tells the second pass what came before its first run and what
+follows its last one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
-
-GROUP_ROWS = 200_000
-#: Slices of a hot group, between quantiles of its order column.
-SLICES = 1_000
-
-
-def group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.vasculum.groupRows", str(GROUP_ROWS)))
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the cluster's shared folder (the warehouse's, if none is set)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir")
-        context.setCheckpointDir(folder or warehouse.rstrip("/") + "/_checkpoints")
+    """Cut the lineage with a checkpoint in the cluster's shared folder (the warehouse's, if none is set and the session is local)."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return df.checkpoint()
 
 
@@ -42,48 +38,16 @@ def same_key(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "
     )
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The keys (columns `_h_<key>`) and sizes (`_hn`) of the groups above the limit,
-    or None. Counts are combined on the map side; the hot keys stay a table."""
-    spark = df.sparkSession
-    counts = materialise(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_hn"))
-        .filter(F.col("_hn") > group_rows(spark))
-        .select(*[F.col(k).alias("_h_" + k) for k in keys], "_hn")
-    )
-    return None if counts.isEmpty() else counts
-
-
-def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups or None, hot keys or None)."""
-    hot = hot_keys(df, keys)
-    if hot is None:
-        return df, None, None
-    on = same_key(df, hot, keys, "_h_")
-    return (
-        df.join(hot, on, "left_anti"),
-        materialise(df.join(hot, on, "left_semi")),
-        hot,
-    )
-
-
-def attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """Join back aggregates of hot groups, one row for each."""
+def attach(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join back a table with one row for each key."""
     small = per_key.withColumnsRenamed({k: "_k_" + k for k in keys})
-    return df.join(small, same_key(df, small, keys, "_k_"), "left").drop(*["_k_" + k for k in keys])
+    return df.join(small, same_key(df, small, keys, "_k_"), how).drop(*["_k_" + k for k in keys])
 
 
 def with_group_values(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
     """Add aggregates of each row's group as columns. `values` are aggregate expressions
     that do not depend on row order (use `min_by` for "the first")."""
-    usual, hot, _ = split_hot(df, keys)
-    window = W.partitionBy(*keys)
-    out = usual.withColumns({name: agg.over(window) for name, agg in values.items()})
-    if hot is None:
-        return out
-    per_key = hot.groupBy(*keys).agg(*[agg.alias(name) for name, agg in values.items()])
-    return out.unionByName(attach(hot, per_key, keys))
+    return attach(df, df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in values.items()]), keys)
 
 
 def is_duplicate(df: DataFrame, keys: list[str], flag: str = "is_duplicate") -> DataFrame:
@@ -101,93 +65,155 @@ def drop_duplicates_by(df: DataFrame, keys: list[str], order: list[Column]) -> D
     return best.select(*keys, "_row.*").select(*df.columns)
 
 
-def ordered_by(order: list[str]) -> Column:
-    return F.struct(*order)
-
-
-def _slices(hot: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """Cut hot groups into slices `_s` that increase with the number `by`. The cuts are
-    quantiles, so a clustered column or an outlier does not fill one slice."""
-    cuts = F.percentile_approx(by, [k / SLICES for k in range(1, SLICES)], 10 * SLICES)
-    ranges = hot.groupBy(*keys).agg(F.array_sort(F.array_distinct(cuts)).alias("_cuts"))
-    # The number of cuts below the value; a null comes first, as in an ascending order.
-    place = F.size(F.filter("_cuts", lambda cut: cut < F.col(by)))
-    return (
-        attach(hot, ranges, keys)
-        .withColumn("_s", F.when(F.col(by).isNotNull(), F.coalesce(place, F.lit(0))).otherwise(-1))
-        .drop("_cuts")
-    )
-
-
-def fill_in_window(c: Column, keys: list[str], order: list[str]) -> Column:
-    """Nearest earlier value of the group in `order`, else the group's first value.
-    (When nothing comes before, the next value is the first one, so one forward
-    window is enough for a fill in both directions.)"""
-    window = W.partitionBy(*keys).orderBy(*order)
-    whole = window.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return F.coalesce(F.last(c, True).over(window.rowsBetween(W.unboundedPreceding, 0)), F.first(c, True).over(whole))
+def in_runs(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows laid out by ranges of key and order and sorted, nulls first."""
+    return df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+
+
+def run_starts(columns: list[pa.Array | pa.ChunkedArray], rows: int) -> np.ndarray:
+    """Where the runs of equal keys begin; null equals null."""
+    new = np.zeros(rows, bool)
+    new[:1] = True
+    for column in columns:
+        here, before = column.slice(1), column.slice(0, max(rows - 1, 0))
+        changed = pc.fill_null(pc.not_equal(here, before), False)
+        changed = pc.or_(changed, pc.xor(pc.is_null(here), pc.is_null(before)))
+        new[1:] |= changed.to_numpy(zero_copy_only=False) if isinstance(changed, pa.Array) else changed.to_numpy()
+    return np.flatnonzero(new)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[int]) -> Iterator[pa.Table]:
+    """Tables that end where a run ends. A run that goes through many batches is held until it ends: one task's rows at most."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        if held:  # does the run that is held go on?
+            edge = pa.concat_tables([held[-1].slice(held[-1].num_rows - 1), table.slice(0, 1)])
+            if len(run_starts([edge.column(k) for k in keys], 2)) == 2:
+                yield pa.concat_tables(held)
+                held = []
+        last = int(run_starts([table.column(k) for k in keys], table.num_rows)[-1])
+        if last:
+            yield pa.concat_tables([*held, table.slice(0, last)])
+            held = []
+        held.append(table.slice(last))
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _scanned(
+    df: DataFrame, keys: list[str], order: list[str], notes: dict[str, str], note: Callable[[pa.Table], dict[str, pa.Array]],
+    carried: dict[str, Column], added: dict[str, str], work: Callable[[pa.Table, np.ndarray], dict[str, pa.Array]],
+) -> DataFrame:
+    """The rows with the columns `added`, computed run by run.
+
+    notes: columns (name: type) that `note` tells of a run. carried: columns computed from them over the notes of one key's
+    runs, in the order of tasks (window expressions). `work` gets whole runs of a task, those carried columns beside them
+    (null where a run lies within one task), and their starts.
+    """
+    part = "_part"
+    laid = materialise(in_runs(df, keys, order).withColumn(part, F.spark_partition_id()))
+    at = [laid.columns.index(k) for k in keys]
+    types = dict(laid.dtypes)
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        for table in whole_runs(batches, at):
+            starts = run_starts([table.column(k) for k in at], table.num_rows)
+            if first is None:
+                first = table.slice(0, int(starts[1]) if len(starts) > 1 else None)
+            last = table.slice(int(starts[-1]))
+        if first is None:
+            return
+        same = len(run_starts([pa.concat_tables([first.slice(0, 1), last.slice(0, 1)]).column(k) for k in at], 2)) == 1
+        for run in (first,) if same else (first, last):
+            row = run.slice(0, 1).select([*keys, part]).combine_chunks()
+            told = note(run)
+            columns = [c.chunk(0) for c in row.columns] + [told[name] for name in notes]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, part, *notes])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*[(k, types[k]) for k in keys], (part, "int"), *notes.items()])
+    told = laid.mapInArrow(edges, schema)
+    carry = told.select(*keys, part, *[c.alias(name) for name, c in carried.items()])
+    carry = carry.withColumnsRenamed({c: "_c_" + c for c in [*keys, part]})
+    # Two rows a task at most.
+    on = same_key(laid, carry, keys, "_c_") & (laid[part] == carry["_c_" + part])
+    beside = laid.join(F.broadcast(carry), on, "left").select(*laid.columns, *carried)
+
+    dropped = [part, *carried, *[c for c in added if c in laid.columns]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, at):
+            made = work(table, run_starts([table.column(k) for k in at], table.num_rows))
+            out = table.drop_columns(dropped)
+            for name, values in made.items():
+                out = out.append_column(name, values)
+            yield from out.select(out_columns).combine_chunks().to_batches()
+
+    kept = [c for c in df.columns if c not in added]
+    out_columns = [*kept, *added]
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*[(c, types[c]) for c in kept], *added.items()])
+    return beside.mapInArrow(run, schema)
+
+
+def _valid(column: pa.ChunkedArray) -> np.ndarray:
+    return column.is_valid().to_numpy()
+
+
+def _nearest(valid: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row: the last place in its run, up to it, that is valid (or -1), and the run's first valid place (or the number of rows)."""
+    rows = len(valid)
+    begin = np.repeat(starts, np.diff(np.append(starts, rows)))
+    before = np.maximum.accumulate(np.where(valid, np.arange(rows), -1))
+    first = np.minimum.reduceat(np.where(valid, np.arange(rows), rows), starts)
+    return np.where(before >= begin, before, -1), np.repeat(first, np.diff(np.append(starts, rows)))
 
 
 def crossfill(df: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
     """Fill nulls of `columns` from the other rows of the group: forward, then backward.
-    `order` must be total, and its first column a number (best spread evenly) because
-    hot groups are sliced along it."""
-    usual, hot, _ = split_hot(df, keys)
-    out = usual.withColumns({c: fill_in_window(F.col(c), keys, order) for c in columns})
-    if hot is None:
+    `order` must be total."""
+    types = dict(df.dtypes)
+    along = W.partitionBy(*keys).orderBy("_part")
+    earlier, later = along.rowsBetween(W.unboundedPreceding, -1), along.rowsBetween(0, W.unboundedFollowing)
+    notes = {f"_{end}_{c}": types[c] for c in columns for end in ("first", "last")}
+    carried = {"_before_" + c: F.last("_last_" + c, True).over(earlier) for c in columns}
+    carried |= {"_after_" + c: F.first("_first_" + c, True).over(later) for c in columns}
+
+    def note(table: pa.Table) -> dict[str, pa.Array]:
+        told = {}
+        for c in columns:
+            there = np.flatnonzero(_valid(table.column(c)))
+            for end, place in (("first", there[:1]), ("last", there[-1:])):
+                found = pa.array(place if len(place) else [None], pa.int64())
+                told[f"_{end}_{c}"] = table.column(c).combine_chunks().take(found)
+        return told
+
+    def fill(table: pa.Table, starts: np.ndarray) -> dict[str, pa.Array]:
+        out = {}
+        for c in columns:
+            values = table.column(c).combine_chunks()
+            before, first = _nearest(_valid(table.column(c)), starts)
+            up_to = values.take(pa.array(before, mask=before < 0))
+            after = values.take(pa.array(first, mask=first >= len(first)))
+            out[c] = pc.coalesce(up_to, table.column("_before_" + c).combine_chunks(), table.column("_after_" + c).combine_chunks(), after)
         return out
-    sliced = materialise(_slices(hot, keys, order[0]))
-    position = ordered_by(order)
-    known = {c: F.when(F.col(c).isNotNull(), position) for c in columns}
-    summary = sliced.groupBy(*keys, "_s").agg(
-        *[F.max_by(c, known[c]).alias("_last_" + c) for c in columns],
-        *[F.min_by(c, known[c]).alias("_first_" + c) for c in columns],
-    )
-    # One row per slice.
-    along = W.partitionBy(*keys).orderBy("_s")
-    whole = along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    summary = summary.select(
-        *[F.col(k).alias("_k_" + k) for k in keys],
-        F.col("_s").alias("_k_s"),
-        *[
-            F.coalesce(
-                F.last("_last_" + c, True).over(along.rowsBetween(W.unboundedPreceding, -1)),
-                F.first("_first_" + c, True).over(whole),
-            ).alias("_carry_" + c)
-            for c in columns
-        ],
-    )
-    small = summary
-    joined = sliced.join(
-        small, same_key(sliced, small, keys, "_k_") & (sliced["_s"] == small["_k_s"]), "left"
-    )
-    within = W.partitionBy(*keys, "_s").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    filled = joined.withColumns(
-        {c: F.coalesce(F.last(c, True).over(within), F.col("_carry_" + c)) for c in columns}
-    )
-    return out.unionByName(filled.select(*out.columns))
+
+    filled = _scanned(df, keys, order, notes, note, carried, {c: types[c] for c in columns}, fill)
+    return filled.select(*df.columns)
 
 
 def number_in_group(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    """Running number (from 1) within the group."""
-    usual, hot, _ = split_hot(df, keys)
-    out = usual.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    if hot is None:
-        return out
-    sliced = materialise(_slices(hot, keys, order[0]))
-    along = W.partitionBy(*keys).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    before = (
-        sliced.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            *[F.col(k).alias("_k_" + k) for k in keys],
-            F.col("_s").alias("_k_s"),
-            F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_before"),
-        )
-    )
-    small = before
-    joined = sliced.join(
-        small, same_key(sliced, small, keys, "_k_") & (sliced["_s"] == small["_k_s"]), "left"
+    """Running number (from 1) within the group. `order` must be total."""
+    along = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+
+    def number(table: pa.Table, starts: np.ndarray) -> dict[str, pa.Array]:
+        begin = np.repeat(starts, np.diff(np.append(starts, table.num_rows)))
+        before = table.column("_before").fill_null(0).to_numpy()
+        return {name: pa.array(np.arange(table.num_rows) - begin + 1 + before, pa.int64())}
+
+    return _scanned(
+        df, keys, order, {"_rows": "bigint"}, lambda table: {"_rows": pa.array([table.num_rows], pa.int64())},
+        {"_before": F.sum("_rows").over(along)}, {name: "bigint"}, number,
     )
-    within = W.partitionBy(*keys, "_s").orderBy(*order)
-    numbered = joined.withColumn(name, (F.row_number().over(within) + F.col("_before")).cast("long"))
-    return out.unionByName(numbered.select(*out.columns))

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vasculum.functions.nulls import text_or_null
 from vasculum.functions.values import dedup_cells, tokens_of
 from vasculum.operators import rules as R
-from vasculum.operators.groups import materialise
 from vasculum.operators.merge import (
     Rule, ascending_nulls_last, expert_first, first, merge_group, newest_first,
 )
@@ -34,14 +33,30 @@ def present(df: DataFrame, table: dict[str, Rule], kept: list[str]) -> dict[str,
     return rules | {c: first() for c in kept if c in df.columns and c not in rules}
 
 
+def set_fingerprint(codes: Column) -> dict[str, Column]:
+    """What tells one set of codes from another, whatever its size: how many there are and two independent 64-bit sums (without
+    carry) of their hashes."""
+
+    def total(seed: int) -> Column:
+        return F.aggregate(codes, F.lit(0).cast("long"), lambda sum_, code: sum_.bitwiseXOR(F.xxhash64(F.lit(seed), code)))
+
+    return {"_set_size": F.size(codes), "_set_a": total(1), "_set_b": total(2)}
+
+
+def merge_sets(df: DataFrame, order: list[Column], table: dict[str, Rule]) -> DataFrame:
+    """Merge the records whose barcode cells hold the same set of codes. The key is the set's fingerprint; the cell comes out sorted."""
+    codes = F.array_sort(tokens_of(F.col("barcode"), DEFAULT_SEPARATOR))
+    keyed = df.withColumn("_codes", codes).withColumns(set_fingerprint(F.col("_codes")))
+    keyed = keyed.withColumn("barcode", F.array_join("_codes", DEFAULT_SEPARATOR)).drop("_codes")
+    return merge_group(keyed, ["_set_size", "_set_a", "_set_b"], order, table | {"barcode": first()})
+
+
 def merge_exploded(df: DataFrame, order: list[Column], table: dict[str, Rule]) -> DataFrame:
     """First all rows that carry the same barcode, then all that ended up with the
     same set of barcodes. One pass: chains of shared barcodes are not followed."""
     single = present(df, table, []) | {"barcode_split": first()}
     by_barcode = merge_group(df, ["barcode_split"], order, single)
-    by_barcode = materialise(by_barcode.withColumn("barcode", barcode_set(F.col("barcode"))))
-    whole = present(by_barcode, table, []) | {"barcode": first()}
-    return merge_group(by_barcode, ["barcode"], [*order, F.col("barcode_split")], whole)
+    return merge_sets(by_barcode, [*order, F.col("barcode_split")], present(by_barcode, table, []))
 
 
 def premerge(master: DataFrame, new: DataFrame, order: list[str], keep: list[str] = ()) -> DataFrame:
