@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -175,6 +176,36 @@ def test_dropout_agenda():
         assert [x for _, _, x in parts] == flat[ends[w] - counts[w] : ends[w]].tolist()
 
 
+def test_dropout_of_long_words():
+    """A word with an agenda of its own against the same word among short ones."""
+    model, rng = dropout.Model(PIECES), random.Random(14)
+    words = ["▁" + "".join(rng.choice("theinréon日") for _ in range(n)) for n in (61, 80, 300, 5, 61)]
+    seeds = np.array([rng.getrandbits(63) for _ in words], np.uint64)
+    for rate in (0.0, 0.1, 0.9):
+        flat, counts = model.segment(words, seeds, rate)
+        want, sizes = model._segment_short(words, seeds, rate)
+        assert flat.tolist() == want.tolist() and counts.tolist() == sizes.tolist()
+    for place in (dropout._place(1, 2, 3), dropout._place(1, 2, 1 << 22)):
+        assert dropout._mixed_one(place) == int(dropout._mixed(np.array([place], np.uint64))[0])
+    start = time.perf_counter()
+    assert model.segment(["▁" + "这是中文" * 25_000], seeds[:1], 0.1)[1][0] > 0
+    assert time.perf_counter() - start < 30
+
+
+def test_dropout_varies_with_every_occurrence(spark, documents):
+    """Frequent words have as many segmentations as chance gives them."""
+    docs = documents([(i, "international " * 50, "en") for i in range(40)])
+    table, pieces = dropout.Model(PIECES).table, Counter()
+    for r in dropout.encode(docs, PIECES, 0.3, 3).collect():
+        words: list[list[int]] = []
+        for i in r.ids:
+            if table[i].startswith(b" "):
+                words.append([])
+            words[-1].append(i)
+        pieces.update(map(tuple, words))
+    assert len(pieces) > 30
+
+
 def test_preferences(spark):
     turn = "pair_id long, side string, turn int, role string, text string, prompt string"
     rows = [

@@ -1,12 +1,15 @@
 """Encoding with seeded merge-dropout, and decoding, for byte-pair models of SentencePiece files.
 
 Merges are taken best first from the agenda of adjacent pairs, as in plain byte-pair encoding, but each candidate merge is skipped
-if the keyed hash of its place falls below the dropout rate. The same seed gives the same segmentation on any cluster. All words of a part
-are worked on at once, one merge a word and round.
+if the keyed hash of its place falls below the dropout rate. The same seed gives the same segmentation on any cluster.
+
+Every occurrence of a word has a key of its own. All words of a part are worked on at once, one merge a word and round; words longer than
+LONG_CHARS, such as text in scripts without spaces, each have an agenda of their own.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -18,9 +21,8 @@ from pyspark.sql import functions as F
 
 from vasculum.llm.storage import in_parts
 
-#: An occurrence of a word takes one of so many segmentations of it, drawn by seed, document and place.
-VARIANTS = 8
-PART_CHARS = 9_000_000
+PART_CHARS = 500_000
+LONG_CHARS = 60
 SPACE = "▁"
 #: Stands for a SPACE that is in the text itself; a lone surrogate, which no text holds.
 LITERAL = "\ud800"
@@ -33,6 +35,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(29)
 
 
+def _mixed_one(x: int) -> int:
+    x = (x ^ x >> 31) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    return x ^ x >> 29
+
+
+def _place(start: int, middle: int, end: int) -> int:
+    """Number that keys a candidate merge of the characters from start to middle with those from middle to end."""
+    if end < 1 << 21:
+        return start << 42 | middle << 21 | end
+    return _mixed_one(_mixed_one(_mixed_one(start) ^ middle) ^ end)
+
+
 class Model:
     """Pieces, merges and their order, read from a model file."""
 
@@ -55,12 +69,14 @@ class Model:
         self.chars = {ord(p): i for p, i in normal.items() if len(p) == 1}
         self.rank = np.zeros(size, np.int64)
         keys, merged = [], []
+        self.merges: dict[int, tuple[int, int]] = {}  # the same as the table below, for words that are long
         for piece in order:
             self.rank[normal[piece]] = order[piece] + 1
             for cut in range(1, len(piece)):
                 if piece[:cut] in normal and piece[cut:] in normal:
                     keys.append(normal[piece[:cut]] << 32 | normal[piece[cut:]])
                     merged.append(normal[piece])
+                    self.merges[keys[-1]] = (order[piece] + 1, normal[piece])
         self.bits = max(10, int(np.ceil(np.log2(4 * len(keys) + 1))))
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.merged = np.full(1 << self.bits, -1, np.int64)
@@ -90,8 +106,73 @@ class Model:
             slots[open_] = (slots[open_] + 1) & ((1 << self.bits) - 1)
         return out
 
+    def symbols(self, word: str) -> list[int]:
+        """Pieces of the single characters; code points without a piece are negative."""
+        return [self.chars.get(c, -1 - c) for c in map(ord, word)]
+
+    def spelled(self, symbols: list[int]) -> list[int]:
+        """Ids of symbols, characters without a piece as the pieces of their bytes."""
+        if min(symbols) >= 0:
+            return symbols
+        out: list[int] = []
+        for s in symbols:
+            if s >= 0:
+                out.append(s)
+            else:
+                c = chr(-1 - s)
+                out += [self.bytes[b] for b in (SPACE if c == LITERAL else c).encode("utf-8", "surrogatepass")]
+        return out
+
+    def segment_alone(self, word: str, seed: int, limit: int) -> list[int]:
+        """Ids of one word, by an agenda of its own: a heap of candidates over a linked list of symbols."""
+        symbols, n = self.symbols(word), len(word)
+        before, after = list(range(-1, n - 1)), [*range(1, n), n]
+        ends = list(range(1, n + 1))
+        agenda: list[tuple[int, int, int, int, int]] = []
+
+        def offer(at: int) -> None:
+            other = after[at]
+            if at < 0 or other >= n or symbols[at] < 0 or symbols[other] < 0:
+                return
+            found = self.merges.get(symbols[at] << 32 | symbols[other])
+            if found and (not limit or _mixed_one(_mixed_one(seed ^ _place(at, other, ends[other]))) >= limit):
+                heapq.heappush(agenda, (-found[0], at, other, ends[other], found[1]))
+
+        for at in range(n - 1):
+            offer(at)
+        gone = bytearray(n)
+        while agenda:
+            _, at, other, end, merged = heapq.heappop(agenda)
+            if gone[at] or after[at] != other or gone[other] or ends[other] != end:
+                continue  # one of both has been merged since
+            symbols[at], ends[at], gone[other] = merged, end, 1
+            after[at] = after[other]
+            if after[at] < n:
+                before[after[at]] = at
+            if before[at] >= 0:
+                offer(before[at])
+            offer(at)
+        return self.spelled([s for s, g in zip(symbols, gone, strict=True) if not g])
+
     def segment(self, words: list[str], seeds: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after another, and their number for each; seeds: a 64-bit number a word, which keys its skipped merges."""
+        limit = min(int(rate * 2**64), 2**64 - 1)
+        sizes = np.array([len(w) for w in words], np.int64)
+        long_ = np.flatnonzero(sizes > LONG_CHARS)
+        if not len(long_):
+            return self._segment_short(words, seeds, rate)
+        flat, counts = self._segment_short([w if len(w) <= LONG_CHARS else "" for w in words], seeds, rate)
+        firsts = np.cumsum(counts) - counts
+        alone = [np.array(self.segment_alone(words[k], int(seeds[k]), limit), np.int64) for k in long_.tolist()]
+        return np.insert(flat, np.repeat(firsts[long_], [len(x) for x in alone]), np.concatenate(alone)), self._with(counts, long_, alone)
+
+    @staticmethod
+    def _with(counts: np.ndarray, places: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+        counts = counts.copy()
+        counts[places] = [len(x) for x in parts]
+        return counts
+
+    def _segment_short(self, words: list[str], seeds: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
         limit = np.uint64(min(int(rate * 2**64), 2**64 - 1))
         sizes = np.array([len(w) for w in words], np.int64)
         symbols = self.lookup[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -135,40 +216,22 @@ class Model:
             symbols, word, start, to, priority = (x[stay] for x in (symbols, word, start, to, priority))
             at = np.concatenate([moved, moved[moved > 0] - 1])
             to[at], priority[at] = candidates(at)
+        if not done:
+            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
         return self._with_bytes(np.concatenate([w for w, _ in done]), np.concatenate([x for _, x in done]), len(words))
 
-    def encode(self, texts: list[str], keys: np.ndarray, rate: float, seed: int = 0) -> list[np.ndarray]:
+    def encode(self, texts: list[str], keys: np.ndarray, rate: float) -> list[np.ndarray]:
         """Ids of each whole text; keys: a 64-bit number for each text. An empty text has none."""
-        from xxhash import xxh3_64_intdigest
-
-        known: dict[str, int] = {}
-        index, owner = [], []
-        for k, text in enumerate(texts):
-            if text:
-                units = UNITS.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE))
-                index.append(np.fromiter((known.setdefault(u, len(known)) for u in units), np.int64, len(units)))
-                owner.append(np.full(len(units), k))
-        if not index:
+        words = [UNITS.findall(SPACE + t.replace(SPACE, LITERAL).replace(" ", SPACE)) if t else [] for t in texts]
+        number = np.array([len(x) for x in words], np.int64)
+        if not number.sum():
             return [np.zeros(0, np.int32) for _ in texts]
-        words = list(known)
-        seeds = np.concatenate([_mixed(keys[o[0]] ^ np.arange(len(o), dtype=np.uint64) * _MIX) for o in owner])
-        use = np.concatenate(index) * VARIANTS + (_mixed(seeds) % np.uint64(VARIANTS if rate > 0 else 1)).astype(np.int64)
-        taken = np.zeros(len(words) * VARIANTS, bool)
-        taken[use] = True
-        distinct = np.flatnonzero(taken)
-        use = (np.cumsum(taken) - 1)[use]
-        hashes = np.fromiter((xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
-        word_seeds = _mixed(hashes[distinct // VARIANTS] ^ np.uint64(seed)) + (distinct % VARIANTS).astype(np.uint64) * _MIX
-        flat, counts = self.segment([words[d] for d in (distinct // VARIANTS).tolist()], word_seeds, rate)
-        firsts = np.cumsum(counts) - counts
-        times = counts[use]
-        after = np.cumsum(times)
-        ids = flat[np.repeat(firsts[use] - (after - times), times) + np.arange(after[-1])].astype(np.int32)
-        ends = np.concatenate([[0], after])[np.concatenate([[0], np.cumsum([len(o) for o in owner])])]
-        out = [np.zeros(0, np.int32) for _ in texts]
-        for k, o in enumerate(owner):
-            out[o[0]] = ids[ends[k] : ends[k + 1]]
-        return out
+        place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        seeds = _mixed(np.repeat(keys, number) ^ place.astype(np.uint64) * _MIX)
+        flat, counts = self.segment([w for x in words for w in x], seeds, rate)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(number)])]
+        ids = flat.astype(np.int32)
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def _with_bytes(self, word: np.ndarray, symbols: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
         """Symbols in the order of their words, characters without a piece as the pieces of their bytes."""
@@ -212,7 +275,7 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, id_col
         for batch in batches:
             for rows in in_parts(batch, 1, PART_CHARS):
                 ids = np.array([-1 if x is None else x for x in rows.column(0).to_pylist()], np.int64).astype(np.uint64)
-                encoded = found.encode(rows.column(1).to_pylist(), _mixed(_mixed(ids) ^ base), rate, int(base))
+                encoded = found.encode(rows.column(1).to_pylist(), _mixed(_mixed(ids) ^ base), rate)
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(encoded, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return source.mapInArrow(run, "doc_id long, ids array<int>")
