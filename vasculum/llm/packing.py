@@ -26,7 +26,9 @@ from vasculum.llm.storage import in_parts, stored
 #: Items of a length are ranked in salted groups of about so many.
 GROUP_ROWS = 400
 #: Characters of text that a task encodes at once.
-PART_CHARS = 6_000_000
+PART_CHARS = 1_000_000
+#: Items that a task places at once.
+PLACE_ROWS = 1_000
 #: The pre-tokenizer's split of byte-level BPE (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts of these bytes alone (in Latin-1), without white space at an end or twice in a row, are cut at their spaces, where
@@ -103,9 +105,12 @@ class _Encoder:
         start, count = np.concatenate([[0], upto[:-1]]), np.diff(upto, prepend=0)
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         index = np.delete(index, bounds[:-1])  # the first word of a text has no space before it
+        start, count, ids = start.astype(np.int32), count.astype(np.int32), ids.astype(self.kind)
         times = count[index]
-        after = np.cumsum(times)
-        flat = ids[np.repeat(start[index] - (after - times), times) + np.arange(after[-1] if len(after) else 0)].astype(self.kind)
+        after = np.cumsum(times, dtype=np.int32)
+        at = np.arange(after[-1] if len(after) else 0, dtype=np.int32)
+        at += np.repeat(start[index] - (after - times), times)
+        flat = ids[at]
         ends = np.concatenate([[0], after])[bounds - np.arange(len(bounds))]
         for k, i in enumerate(plain):
             first = self.words.encode_ordinary(texts[i].split(" ", 1)[0])
@@ -284,9 +289,9 @@ def _placer(classes: dict, sizes: dict, patterns: int, length: int, grain: int,
         return pieces if cut == size else [*pieces, (skip + cut, size - cut, patterns + at // length + 1, 0)]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (batch.slice(at, PLACE_ROWS) for batch in batches for at in range(0, batch.num_rows, PLACE_ROWS)):
             out: list[list] = [[] for _ in names]
-            for doc, total, size, rank, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, total, size, rank, ids in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 pieces, unit, end = [], size // grain, size % grain
                 before, ends_at = sizes[size]
                 if unit:
