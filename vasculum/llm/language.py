@@ -29,7 +29,7 @@ NEEDED, MOST_NEEDED = 0.6, 0.45
 SHORT_GRAMS, SHORT_NEEDED = 40, 0.4
 #: About so many distinct texts of each language are scored for the median.
 SCORED_DOCUMENTS = 500
-PART_CHARS = 4_000_000
+PART_CHARS = 1_000_000
 
 
 @cache
@@ -85,10 +85,10 @@ def learn_profiles(docs: DataFrame, may_learn: Column, text_col: str = "text", l
         return {}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), dtype=object)
+        for rows in (rows for batch in batches for rows in in_parts(batch, 1, PART_CHARS)):
+            langs = np.array(rows.column(0).to_pylist(), dtype=object)
             for lang in dict.fromkeys(langs):
-                texts = batch.filter(pa.array(langs == lang)).column(1).to_pylist()
+                texts = rows.filter(pa.array(langs == lang)).column(1).to_pylist()
                 grams, n = np.unique(np.concatenate([text_grams(t) for t in texts]), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -42,10 +43,15 @@ def picked(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -
 
 
 def in_parts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `most` bytes of the text or binary column each, one row at least: long texts bound memory too."""
+    """Slices of a batch with about `most` bytes of the text or binary column each, one row at least: long texts bound memory too.
+
+    What a part has used is given back to the system when the next one is asked for: Python workers live on from stage to stage.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes, dtype=np.int64) // most
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
             yield batch.slice(a, b - a)
+            gc.collect(0)
+            pa.default_memory_pool().release_unused()
