@@ -95,7 +95,11 @@ def tokens_of(cell: Column, sep: str) -> Column:
 
 
 def dedup_cell(cell: Column, sep: str) -> Column:
-    return blank_to_null(F.array_join(tokens_of(cell, sep), sep))
+    """The cell without repeated values. Most cells hold one value; only the others are taken apart."""
+    mark = sep.strip()
+    one = F.btrim(F.btrim(cell), F.lit(mark + " "))
+    single = F.when(F.lower(one) != "<na>", blank_to_null(one))
+    return F.when(F.instr(cell, mark) == 0, single).otherwise(blank_to_null(F.array_join(tokens_of(cell, sep), sep)))
 
 
 def dedup_cells(columns: list[str], separators) -> dict[str, Column]:

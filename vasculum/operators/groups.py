@@ -11,14 +11,19 @@ follows its last one.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+# What tasks run is sent along, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the cluster's shared folder (the warehouse's, if none is set and the session is local)."""
@@ -66,8 +71,11 @@ def drop_duplicates_by(df: DataFrame, keys: list[str], order: list[Column]) -> D
 
 
 def in_runs(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The rows laid out by ranges of key and order and sorted, nulls first."""
-    return df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    """The rows laid out by ranges of key and order and sorted, nulls first.
+
+    Finding the ranges reads the rows once or twice before they are shuffled, so they are written out first, not computed each time.
+    """
+    return materialise(df).repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
 
 
 def run_starts(columns: list[pa.Array | pa.ChunkedArray], rows: int) -> np.ndarray:

@@ -11,19 +11,23 @@ a small aggregate, which puts the text of a joined cell together from its slices
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from vasculum.operators.groups import materialise, run_starts
+from vasculum.operators.groups import in_runs, materialise, run_starts
 from vasculum.schema import separator
 
+# What tasks run is sent along, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -188,7 +192,7 @@ def merge_group(df: DataFrame, keys: list[str], order: list[Column], rules: dict
         plan[name] = (rule.kind, source, rule.text, index)
     columns += [F.col(s) for s in dict.fromkeys(source for _, source, _, _ in plan.values() if source)]
     by = [f"_k{i}" for i in range(len(keys))] + [f"_o{i}" for i in range(len(order))]
-    laid = df.select(*columns).repartitionByRange(*by).sortWithinPartitions(*by).drop(*[c for c in by if c.startswith("_o")])
+    laid = in_runs(df.select(*columns), by[: len(keys)], by[len(keys) :]).drop(*by[len(keys) :])
 
     types = {f.name: f.dataType for f in laid.schema}
     fields = [StructField(f"_k{i}", types[f"_k{i}"]) for i in range(len(keys))]
