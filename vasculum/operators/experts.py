@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vasculum.functions.names import surname
-from vasculum.functions.nulls import normalise_nulls
+from vasculum.functions.nulls import blank_to_null, normalise_nulls
 from vasculum.functions.values import tokens_of
 from vasculum.operators import rules as R
-from vasculum.operators.filters import clear_surname_prefix, require, split_usable_key
-from vasculum.operators.groups import materialise, number_in_group, with_group_values
-from vasculum.operators.merge import ascending_nulls_last, first, merge_group, newest_first
+from vasculum.operators.filters import clear_surname_prefix, has_collector_and_number, require, split_usable_key
+from vasculum.operators.groups import attach, materialise, number_in_group, with_group_values
+from vasculum.operators.merge import ascending_nulls_last, first, last, merge_group, newest_first
 from vasculum.operators.premerge import explode_barcodes, merge_sets, present
 from vasculum.schema import DEFAULT_SEPARATOR, EXPERT_KEYS
 
@@ -68,32 +68,40 @@ def integrate_expert(
         "_experts": F.count_if(F.col("origin") == "EXP"),
         "_masters": F.count_if(F.col("origin") == "MASTER"),
     }
-    sided = materialise(with_group_values(usable, EXPERT_KEYS, sides))
+    sided = materialise(with_group_values(usable, EXPERT_KEYS, sides).withColumn("_row", F.monotonically_increasing_id()))
     matched = (F.col("_experts") > 0) & (F.col("_masters") > 0)
-    alone = sided.filter(~matched).drop(*sides)
+    alone = sided.filter(~matched).drop(*sides, "_row")
     pairs = sided.filter(matched).drop(*sides)
-    patches = merge_group(
-        pairs, EXPERT_KEYS, [*rank, F.col("barcode")], R.expert_patch(with_coordinates)
-    )
-    targets = pairs.filter(F.col("origin") == "MASTER")
-    patched = apply_patches(targets, patches)
+    patched = apply_patches(pairs.filter(F.col("origin") == "MASTER"), patches_by_number(pairs, rank, with_coordinates))
     return (
         alone.unionByName(patched.select(*alone.columns)).unionByName(others).drop("origin")
     )
 
 
+def patches_by_number(pairs: DataFrame, rank: list[Column], with_coordinates: bool) -> DataFrame:
+    """What the experts change, one row for each collector and number that both sides have, with the `_row` of the
+    master record concerned: the last one that has a barcode, or the last one if none has."""
+    is_master = F.col("origin") == "MASTER"
+    marked = pairs.withColumns({
+        "_coded": F.when(is_master & F.col("barcode").isNotNull(), F.col("_row")), "_any": F.when(is_master, F.col("_row")),
+    })
+    table = {c: r for c, r in R.expert_patch(with_coordinates).items() if c != "barcode"} | {"_coded": last(), "_any": last()}
+    patches = merge_group(marked, EXPERT_KEYS, [*rank, F.col("barcode")], table)
+    return patches.withColumn("_row", F.coalesce("_coded", "_any")).drop("_coded", "_any")
+
+
 def apply_patches(targets: DataFrame, patches: DataFrame) -> DataFrame:
-    """Full outer merge on the barcode cell; the patch's value wins where it has one,
-    and a patch that meets no record becomes a record of its own."""
-    renamed = patches.withColumnsRenamed({c: c + "_exp" for c in patches.columns if c != "barcode"})
-    joined = targets.join(renamed, "barcode", "full_outer")
-    patched = F.col("new_barcode_exp").isNotNull()
+    """The records with the patches of their `_row`: the patch's value wins where it has one. Whether a record has
+    a barcode does not matter; it gets the expert's."""
+    renamed = patches.withColumnsRenamed({c: c + "_exp" for c in patches.columns if c != "_row"})
+    joined = targets.join(renamed, "_row", "left")
+    patched = F.col("expert_det_exp").isNotNull()
     changed = {
         c: F.coalesce(F.col(c + "_exp"), F.col(c))
         for c in patches.columns
-        if c in targets.columns and c != "barcode"
+        if c in targets.columns and c != "_row"
     }
-    added = F.concat_ws(DEFAULT_SEPARATOR, "barcode", F.nullif(F.col("new_barcode_exp"), F.col("barcode")))
+    added = blank_to_null(F.concat_ws(DEFAULT_SEPARATOR, "barcode", F.nullif(F.col("new_barcode_exp"), F.col("barcode"))))
     changed["barcode"] = F.when(patched, added).otherwise(F.col("barcode"))
     changed["source_id"] = F.when(
         patched, F.concat_ws(DEFAULT_SEPARATOR, "source_id", F.lit("specialist"))
@@ -101,6 +109,32 @@ def apply_patches(targets: DataFrame, patches: DataFrame) -> DataFrame:
     return joined.withColumns(changed).select(*targets.columns)
 
 
+def expert_matches(master: DataFrame, expert: DataFrame, order: list[str]) -> DataFrame:
+    """What each expert record meets in the master table, before anything is changed: the columns of `order`, which name the
+    record; `matched_by`; and `m_<column>`, the first master record it meets.
+
+    matched_by is `refused` without an accepted name, else `barcode` if one of its barcodes is a master record's, else `number` if collector,
+    prefix, number and suffix are, else `nothing`. A refused record stops an integration; the others show what it will do.
+    """
+    master = clear_surname_prefix(normalise_nulls(master))
+    expert = normalise_nulls(expert)
+    name = F.struct(*order)
+    asked = expert.select(*order, *EXPERT_KEYS, "barcode", F.col("accepted_name").isNull().alias("_refused"))
+    codes = explode_barcodes(master.select(*order, "barcode"), "_code").filter("_code is not null").groupBy("_code").agg(F.min(name).alias("_at"))
+    by_code = explode_barcodes(asked.filter(~F.col("_refused")), "_code").join(codes, "_code").groupBy(*order).agg(F.min("_at").alias("_by_code"))
+    usable, _ = split_usable_key(master)
+    numbers = usable.groupBy(*EXPERT_KEYS).agg(F.min(name).alias("_by_number"))
+    joined = attach(asked, numbers, EXPERT_KEYS)
+    joined = attach(joined, by_code, order)
+    by_number = F.when(has_collector_and_number(), F.col("_by_number"))
+    how = (
+        F.when(F.col("_refused"), "refused").when(F.col("_by_code").isNotNull(), "barcode")
+        .when(by_number.isNotNull(), "number").otherwise("nothing")
+    )
+    met = F.when(~F.col("_refused"), F.coalesce("_by_code", by_number))
+    return joined.select(*order, how.alias("matched_by"), *[met[c].alias("m_" + c) for c in order])
+
+
 def integrate_expert_by_number(
     master: DataFrame, expert: DataFrame, order: list[str],
     names: bool = True, coordinates: bool = True, keep: list[str] = (),
@@ -136,13 +170,13 @@ def update_by_barcode(
     master: DataFrame, expert: DataFrame, order: list[str], key: list[str]
 ) -> DataFrame:
     """Overwrite the determination of every master record that has one of an expert
-    record's barcodes; append expert records that match none. `key` identifies a
-    master record, `order` ranks expert records (the newest wins)."""
-    expert = require(expert.filter(F.col("accepted_name").isNotNull()), ["det_by", "det_year"])
-    expert = expert.filter(F.col("barcode").isNotNull())
+    record's barcodes; append expert records that match none, and those without a barcode. `key` identifies a
+    master record, `order` ranks expert records (the newest wins). A missing name, determiner or year fails the job."""
+    expert = require(expert, ["accepted_name", "det_by", "det_year"])
     codes = ["barcode", "accepted_name", "det_by", "det_year", "prefix", "ddlat", "ddlong"]
     codes = [c for c in codes if c in expert.columns]
-    offers = explode_barcodes(expert, "_code").select(
+    coded = expert.filter(F.col("barcode").isNotNull())
+    offers = explode_barcodes(coded, "_code").select(
         "_code", F.struct(*newest_first(), *[F.col(c).alias("o_" + c) for c in order]).alias("_rank"),
         F.struct(*codes).alias("_offer"),
     )
@@ -172,7 +206,7 @@ def update_by_barcode(
     }
     updated = joined.withColumns(new).drop("_offer")
     known = wanted.select("_code").distinct()
-    codes_of = explode_barcodes(expert, "_code")
+    codes_of = explode_barcodes(coded, "_code")
     found = codes_of.join(known, "_code", "left_semi").select(*order).distinct()
     unmatched = expert.join(found, order, "left_anti")
     return updated.unionByName(unmatched, allowMissingColumns=True)

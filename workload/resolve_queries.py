@@ -171,16 +171,42 @@ REFERENCE = f"""SELECT CASE p_partkey % 4 WHEN 0 THEN concat({S_}, ', ', {I_}) W
   WHEN 2 THEN concat(substr({S_}, 1, 1), substr({S_}, 3), ', ', {I_}, 'BL') ELSE concat('Von', {S_}) END AS listed FROM part"""
 
 
-@query("fuzzy_best", f"""WITH {COLLECTOR_CTES}, listed AS (SELECT DISTINCT listed AS full_name, split_part(listed, ',', 1) AS rs,
+def _fuzzy_sql(surnames: str) -> str:
+    """Best names, given the CTE (s, rs) of each surname's best reference surname."""
+    return f"""WITH {COLLECTOR_CTES}, listed AS (SELECT DISTINCT listed AS full_name, split_part(listed, ',', 1) AS rs,
   coalesce(nullif(split_part(listed, ', ', 2), ''), '0') AS rg FROM ({REFERENCE})),
 names AS (SELECT DISTINCT recorded_by AS name, split_part(recorded_by, ',', 1) AS s, coalesce(nullif(split_part(recorded_by, ', ', 2), ''), ' ') AS g FROM collected WHERE recorded_by IS NOT NULL),
-surnames AS (SELECT s, first(rs ORDER BY levenshtein(s, rs) / greatest(length(s), length(rs)), rs) AS rs FROM (SELECT DISTINCT s FROM names), (SELECT DISTINCT rs FROM listed)
-  WHERE levenshtein(s, rs) <= 2 GROUP BY s),
+{surnames},
 pairs AS (SELECT name, g, full_name, rg, 1 - levenshtein(g, rg) / greatest(length(g), length(rg)) AS score FROM names JOIN surnames USING (s) JOIN listed USING (rs)),
 best AS (SELECT name, first(full_name ORDER BY -score, full_name) AS best_name FROM pairs GROUP BY name)
 SELECT n.name, b.best_name, round(p.score, 6) AS score, substr(p.g, 1, 1) = substr(p.rg, 1, 1) AS initial_agrees
-FROM names n LEFT JOIN best b ON n.name = b.name LEFT JOIN pairs p ON p.name = n.name AND p.full_name = b.best_name""")
-def fuzzy(spark, folder):
+FROM names n LEFT JOIN best b ON n.name = b.name LEFT JOIN pairs p ON p.name = n.name AND p.full_name = b.best_name"""
+
+
+# All surnames against all: the table of common subsequence lengths, letter by letter, packed in a list for each pair.
+ALL_SURNAMES = """sides AS (SELECT s, rs FROM (SELECT DISTINCT s FROM names), (SELECT DISTINCT rs FROM listed)),
+common AS (SELECT s, rs, list_reduce(
+    list_concat([list_transform(range(length(rs)), lambda j: 0)], list_transform(range(length(s)), lambda i: [i])),
+    lambda line, letter: list_reduce(list_concat([[0]], list_transform(range(length(rs)), lambda j: [j])),
+      lambda done, k: list_append(done, CASE WHEN s[letter[1] + 1] = rs[k[1] + 1]
+        THEN coalesce(CASE WHEN k[1] > 0 THEN line[k[1]] END, 0) + 1
+        ELSE greatest(line[k[1] + 1], CASE WHEN k[1] > 0 THEN done[k[1] + 1] ELSE 0 END) END))[2:])[-1] AS lcs FROM sides),
+surnames AS (SELECT s, first(rs ORDER BY -2.0 * lcs / (length(s) + length(rs)), rs) AS rs FROM common GROUP BY s)"""
+
+NEAR_SURNAMES = """surnames AS (SELECT s, first(rs ORDER BY levenshtein(s, rs) / greatest(length(s), length(rs)), rs) AS rs FROM (SELECT DISTINCT s FROM names), (SELECT DISTINCT rs FROM listed)
+  WHERE levenshtein(s, rs) <= 2 GROUP BY s)"""
+
+
+def _reference(spark, folder):
     table(spark, folder, "part").createOrReplaceTempView("part")
-    reference = prepare_reference(spark.sql(REFERENCE), "listed")
-    return best_names(collected(spark, folder), "recorded_by", reference)
+    return prepare_reference(spark.sql(REFERENCE), "listed")
+
+
+@query("fuzzy_best", _fuzzy_sql(ALL_SURNAMES))
+def fuzzy(spark, folder):
+    return best_names(collected(spark, folder), "recorded_by", _reference(spark, folder))
+
+
+@query("fuzzy_within_two", _fuzzy_sql(NEAR_SURNAMES))
+def fuzzy_within_two(spark, folder):
+    return best_names(collected(spark, folder), "recorded_by", _reference(spark, folder), 2)
