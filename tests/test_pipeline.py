@@ -4,12 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from vasculum.operators import geo
+from vasculum.operators.experts import expert_matches, integrate_expert
 from vasculum.plans.cleaner import check_coordinates, clean_columns, clean_expert, clean_records, standardise_names
 from vasculum.plans.filer import integrate, integrate_small_expert
 from vasculum.schema import MASTER_COLUMNS, RAW_COLUMNS, SOURCES
 from vasculum.sources.readers import conform_master, read_expert, read_source
 from vasculum.sources.tables import (
-    append_quarantine, apply_corrections, read_master_csv, read_store, run_stamp, versions, write_csv, write_store,
+    Ledger, append_quarantine, apply_corrections, read_master_csv, read_set, read_store, run_stamp, versions, write_csv, write_store,
 )
 
 GBIF = {
@@ -141,6 +142,76 @@ def test_filing_and_store(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, second["master"].select(MASTER_COLUMNS).collect()))
 
 
+def small_master(spark):
+    rows = [
+        (1, "Doe, J", "12", "K1", "Annona alba", 1.0, "SJ"), (2, "Doe, J", "13", None, "Annona alba", 1.0, None),
+        (3, "Doe, J", "14", "K3", None, 1.0, None), (4, "Doe, J", "15", "K4", "Annona nigra", None, None), (5, None, None, "K5", "Annona alba", 2.0, None),
+        (6, "Roe, A", "7", "K6", "Annona alba", 1.0, None), (7, "Roe, A", "7", "K7", "Annona alba", 9.0, None),
+    ]
+    schema = "record_id long, recorded_by string, colnum string, barcode string, accepted_name string, ddlat double, prefix string"
+    return conform_master(spark.createDataFrame(rows, schema).withColumn("ddlong", F.col("ddlat")), ["record_id"])
+
+
+def test_a_filing_run_commits_everything_or_nothing(spark, tmp_path):
+    root, stamp = str(tmp_path / "store"), run_stamp("me", "2024-01-01_00-00-00")
+    master = small_master(spark)
+    empty = master.limit(0)
+    filed = integrate({"master": empty, "indet": empty, "coord": empty}, master, ["record_id"], stamp)
+    counts = filed.commit(root, "v2")
+    assert counts == {"master": 1, "indet": 1, "coord": 1, "quarantine": 1, "no_barcode": 1, "scattered": 2}
+    assert all(same for *_, same in filed.ledger.counts())
+    assert {r.record_id for r in read_set(spark, root, "scattered").collect()} == {6, 7}
+    assert [r.record_id for r in read_set(spark, root, "no_barcode").collect()] == [2]
+    assert {t: d.count() for t, d in read_store(spark, root).items()} == {"master": 1, "indet": 1, "coord": 1}
+
+    # A run that breaks off before its manifest leaves nothing that is read, and can be repeated.
+    def broken(counts):
+        raise RuntimeError("broken off")
+
+    tables = read_store(spark, root)
+    with pytest.raises(RuntimeError):
+        write_store(tables, root, "a1", broken)
+    assert versions(spark, root) == ["v2"]
+    write_store(tables, root, "a1")
+    # Order is that of the manifests, not of names.
+    assert versions(spark, root) == ["v2", "a1"] and read_store(spark, root, "v2")["master"].count() == 1
+    with pytest.raises(ValueError):
+        read_set(spark, root, "unknown")
+    with pytest.raises(ValueError):
+        read_store(spark, root, "v9")
+
+
+def test_lost_and_doubled_rows_stop_a_run(spark, tmp_path):
+    df = spark.range(10)
+    ledger = Ledger()
+    whole = ledger.before("split", df)
+    for part in (ledger.after("split", whole.filter("id < 4")), ledger.after("split", whole.filter("id > 4"))):
+        part.write.format("noop").mode("overwrite").save()
+    assert ledger.counts() == [("split", 10, 9, False)]
+    with pytest.raises(ValueError, match="split: 10 rows before, 9 after"):
+        ledger.require()
+
+
+def test_sets_of_one_run_do_not_replace_each_other(spark, tmp_path):
+    path, stamp = str(tmp_path / "quarantine"), run_stamp("me", "2024-01-01_00-00-00")
+    append_quarantine(spark.range(2), path, stamp, "numbered")
+    append_quarantine(spark.range(2, 3), path, stamp, "unnumbered")
+    append_quarantine(spark.range(2), path, stamp, "numbered")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2]
+
+
+def test_expert_patches_a_master_record_without_barcode(spark):
+    master = small_master(spark).filter("record_id in (2, 6)").withColumn("accepted_name", F.lit("old"))
+    rows = [(10, "Doe, J", "13", None, "new", "Roe, A", 2020), (11, "Poe, B", "1", None, "other", "Roe, A", 2020), (12, "Roe, A", "99", "K6", "coded", "Roe, A", 2021)]
+    schema = "record_id long, recorded_by string, colnum string, barcode string, accepted_name string, det_by string, det_year int"
+    expert = spark.createDataFrame(rows, schema).withColumns({c: F.lit(None).cast("string") for c in ("prefix", "sufix", "source_id", "status", "expert_det", "ipni_no")})
+    out = {(r.recorded_by, r.colnum): r for r in integrate_expert(master, expert, ["record_id"]).collect()}
+    assert out["Doe, J", "13"].accepted_name == "new" and out["Doe, J", "13"].expert_det == "EXP" and out["Doe, J", "13"].barcode is None
+    assert ("Poe, B", "1") in out
+    matches = {r.record_id: (r.matched_by, r.m_record_id) for r in expert_matches(master, expert.withColumn("accepted_name", F.nullif("accepted_name", F.lit("other"))), ["record_id"]).collect()}
+    assert matches == {10: ("number", 2), 11: ("refused", None), 12: ("barcode", 6)}
+
+
 def test_small_expert_file(spark, tmp_path):
     row = {
         "ddlat": "0.6", "ddlong": "12.6", "locality": "", "country": "Gabon", "recorded_by": "Doe, J.", "colnum_full": "SJ 12A",

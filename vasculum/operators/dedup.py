@@ -12,7 +12,7 @@ from vasculum.operators.filters import clear_surname_prefix
 from vasculum.operators.groups import attach, crossfill, with_group_values
 from vasculum.operators.merge import (
     Rule, ascending_nulls_last, expert_first, first, mean, merge_group,
-    newest_first, variance,
+    newest_first, size, variance,
 )
 from vasculum.schema import COORDINATE_VARIANCE, GATHERING_KEYS
 
@@ -111,6 +111,7 @@ def dedup_master(
     expert: bool = False,
     unique_barcodes: bool = False,
     keep: list[str] = (),
+    sizes: str | None = None,
 ) -> Deduplicated:
     """Merge the duplicates of the master table; every record gets the run stamp.
 
@@ -118,6 +119,7 @@ def dedup_master(
     In an expert run the expert's word comes first and coordinates stay as given.
     Otherwise flagged coordinates are replaced by a duplicate's, groups that disagree
     go to quarantine and the newest determination names the specimen.
+    With `sizes`, a column of that name says how many records each merged one stands for (of the last merge; not in an expert run).
     """
     df = clear_surname_prefix(df)
     newest = [*newest_first(), *map(F.col, order)]
@@ -132,7 +134,7 @@ def dedup_master(
 
     if not expert:
         table = kept_table | {c: first(order=newest) for c in named if c in kept_table}
-        table |= {c: mean() for c in COORDINATES}
+        table |= {c: mean() for c in COORDINATES} | ({sizes: size()} if sizes else {})
         done = _deduplicate(df, keys, order, table, expert_then_newest, True, True)
         return Deduplicated(done.clean.withColumn("modified", stamp), done.quarantine)
 

@@ -61,7 +61,11 @@ def merge_exploded(df: DataFrame, order: list[Column], table: dict[str, Rule]) -
 
 def premerge(master: DataFrame, new: DataFrame, order: list[str], keep: list[str] = ()) -> DataFrame:
     """Master and new records in one table, merged where they share a barcode."""
-    both = master.unionByName(new, allowMissingColumns=True)
+    return merge_by_barcode(master.unionByName(new, allowMissingColumns=True), order, keep)
+
+
+def merge_by_barcode(both: DataFrame, order: list[str], keep: list[str] = ()) -> DataFrame:
+    """The records with a barcode, merged where they share one."""
     both = reduce_cells(both.withColumn("barcode", text_or_null(F.col("barcode"))), PREMERGE_CELLS)
     both = both.filter(F.col("barcode").isNotNull() & (F.col("barcode") != NO_BARCODE))
     rank = [

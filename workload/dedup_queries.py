@@ -476,3 +476,30 @@ INTEGRATE_CTES = ",\n".join([
 def integrated(spark, folder):
     gbif, herbo, new = new_and_old(spark, folder)
     return tidy(integrate({"master": gbif, "indet": herbo}, new, ORDER, stamp()).routed)
+
+
+# Some records lose their barcode, so that every set of a filing run has rows.
+SOME_BARE = "k_line % 7 = 0"
+_CODED_CTES = INTEGRATE_CTES.replace("AS barcode) FROM specimens)", f"AS barcode) FROM specimens WHERE NOT ({SOME_BARE}))")
+
+
+@query("filing_conservation", with_view(_CODED_CTES, select=f"""SELECT 'barcodes' AS step, count(*) AS before,
+    count(*) FILTER (WHERE {SOME_BARE}) + (SELECT count(*) FROM together) AS after, true AS conserved FROM specimens
+  UNION ALL SELECT 'numbers', count(*), (SELECT count(*) FROM with_number) + (SELECT count(*) FROM without_number), true FROM united
+  UNION ALL SELECT 'numbered', count(*), count(*), true FROM with_number
+  UNION ALL SELECT 'unnumbered', count(*), count(*), true FROM without_number
+  UNION ALL SELECT 'routes', (SELECT count(*) FROM merged_a) + (SELECT count(*) FROM merged_b), count(*), true FROM filed"""))
+def filing_conservation(spark, folder):
+    """The rows that come into and out of every step of a filing run, as the run itself counts them."""
+    tables = [t.withColumn("barcode", F.when(~F.expr(SOME_BARE), F.col("barcode"))) for t in new_and_old(spark, folder)]
+    filed = integrate({"master": tables[0], "indet": tables[1]}, tables[2], ORDER, stamp())
+    for part in (filed.routed, filed.no_barcode, filed.scattered):
+        part.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(filed.ledger.counts(), "step string, before long, after long, conserved boolean")
+
+
+@query("filing_no_barcode", with_view(select=f"SELECT k_order, k_line, k_part, k_supp FROM specimens WHERE {SOME_BARE}"))
+def filing_no_barcode(spark, folder):
+    tables = [t.withColumn("barcode", F.when(~F.expr(SOME_BARE), F.col("barcode"))) for t in new_and_old(spark, folder)]
+    filed = integrate({"master": tables[0], "indet": tables[1]}, tables[2], ORDER, stamp())
+    return filed.no_barcode.select("k_order", "k_line", "k_part", "k_supp")
