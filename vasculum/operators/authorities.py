@@ -1,7 +1,7 @@
 """Resolution of taxa, collectors and countries against authority tables.
 
-The pattern is always the same: reduce to distinct names, join those to the
-authority, join the few answers back. Authority tables are joined without a broadcast
+The pattern is always the same: one answer for each name of the authority, joined to the rows, which are read once.
+Only collectors are reduced to distinct names first, since their answer depends on their labels. Authority tables are joined without a broadcast
 hint: Spark broadcasts them when their measured size allows, and otherwise shuffles,
 splitting skewed partitions at run time.
 """
@@ -17,16 +17,18 @@ from vasculum.functions.values import taxon_key
 ACCEPTED, SYNONYM = "ACCEPTED", "SYNONYM"
 NOT_FOUND, NOT_DETERMINED = "not found in POWO", "not det"
 NAME_RECORD = "https://ipni.org/n/"
+# ------------------------------- end of fixed values
+#: Groups over which rows without a name are spread.
+SPREAD = 10_000
 
 
 def _with_names(df: DataFrame, answers: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Left join of one answer per name. Rows without a name are kept aside so that
-    they do not all travel to one partition."""
-    nameless = df.filter(F.col(key).isNull())
-    for c in columns:
-        nameless = nameless.withColumn(c, F.lit(None).cast(answers.schema[c].dataType))
-    found = df.filter(F.col(key).isNotNull()).join(answers.select(key, *columns), key, "left")
-    return found.unionByName(nameless)
+    """Left join of one answer per name. Rows without a name match nothing; a second key spreads them
+    over the tasks, so that they do not all travel to one."""
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
+    known = answers.select(F.col(key).alias("_known"), *columns, F.lit(0).cast("long").alias("_none")).filter("_known is not null")
+    asked = df.withColumn("_spread", spread)
+    return asked.join(known, (asked[key] == known["_known"]) & (asked["_spread"] == known["_none"]), "left").drop("_known", "_none", "_spread")
 
 
 def resolve_taxa(df: DataFrame, backbone: DataFrame, distribution: bool = False) -> DataFrame:
@@ -37,7 +39,6 @@ def resolve_taxa(df: DataFrame, backbone: DataFrame, distribution: bool = False)
     accepted taxon but keeps its own record.
     """
     out = df.withColumn("_taxon", taxon_key(F.col("genus"), F.col("specific_epithet")))
-    asked = out.select("_taxon").filter(F.col("_taxon").isNotNull()).distinct()
     target = ["name", "author"] + (["native_to"] if distribution else [])
     accepted = backbone.select(
         F.col("id").alias("_accepted_id"), *[F.col(c).alias("_acc_" + c) for c in target]
@@ -48,11 +49,7 @@ def resolve_taxa(df: DataFrame, backbone: DataFrame, distribution: bool = False)
             F.struct("id", "accepted", "accepted_id", *target), F.struct(~F.col("accepted"), "id")
         ).alias("_hit")
     )
-    matched = (
-        asked.join(known, "_taxon")
-        .select("_taxon", "_hit.*")
-        .join(accepted, F.col("accepted_id") == F.col("_accepted_id"), "left")
-    )
+    matched = known.select("_taxon", "_hit.*").join(accepted, F.col("accepted_id") == F.col("_accepted_id"), "left")
 
     def of_accepted(c: str) -> Column:
         return F.when(F.col("accepted"), F.col(c)).otherwise(F.col("_acc_" + c))
@@ -78,8 +75,7 @@ def resolve_expert_taxa(df: DataFrame, backbone: DataFrame) -> DataFrame:
     known = backbone.groupBy(F.col("name").alias("accepted_name")).agg(
         F.min_by(F.struct("author", "id", "pub_year"), F.struct(~F.col("accepted"), "id")).alias("_hit")
     )
-    asked = df.select("accepted_name").filter(F.col("accepted_name").isNotNull()).distinct()
-    answers = asked.join(known, "accepted_name").select(
+    answers = known.select(
         "accepted_name",
         F.col("_hit.author").alias("ipni_species_author"),
         F.concat(F.lit(NAME_RECORD), F.col("_hit.id").cast("string")).alias("ipni_no"),
