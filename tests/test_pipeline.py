@@ -268,3 +268,30 @@ def test_coast_over_the_date_line(spark):
     got = {r.id: r for r in geo.nearest_coast(df, cells).collect()}
     assert abs(got[1].coast_distance - 2224) < 5 and abs(got[2].coast_distance - 2224) < 5
     assert abs(got[2].coast_lon + 179.97) < 1e-6 and got[3].coast_distance is None
+
+
+def test_nearest_place_by_brute_force(spark):
+    """Dense, sparse and far places, over the date line and near a pole, whatever ring they are found in."""
+    import math
+    import random
+
+    rng = random.Random(11)
+    places = [(rng.uniform(0, 0.3), rng.uniform(0, 0.3), f"dense {i:03}") for i in range(80)]
+    places += [(rng.uniform(-60, 60), rng.uniform(-180, 180), f"sparse {i:03}") for i in range(40)] + [(0.1, 179.95, "line"), (-80.0, 10.0, "pole")]
+    points = [(i, rng.uniform(-0.2, 0.6), rng.uniform(-0.2, 0.6)) for i in range(120)]
+    points += [(200 + i, rng.uniform(-60, 60), rng.uniform(-179, 179)) for i in range(120)] + [(400, 0.2, -179.9), (401, -80.1, 10.4), (402, -80.1, 10.4)]
+
+    def metres(a, b, c, d):
+        a, c = math.radians(a), math.radians(c)
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * geo.EARTH_RADIUS * math.asin(math.sqrt(min(h, 1)))
+
+    want = {}
+    for i, lat, lon in points:
+        d, label = min((metres(lat, lon, la, lo), label) for la, lo, label in places)
+        want[i] = (label, round(d, 3)) if d <= 600_000 else (None, None)
+    df = spark.createDataFrame(points + [(-1, None, 1.0), (-2, None, None)], "id int, ddlat double, ddlong double")
+    frame = spark.createDataFrame(places, "lat double, lon double, label string")
+    got = {r.id: (r.place, r.place_distance and round(r.place_distance, 3)) for r in geo.nearest_place(df, frame, {"label": "place"}, 600_000.0, size=4.0).collect()}
+    assert got.pop(-1) == got.pop(-2) == (None, None) and got == want
+    assert sum(label is None for label, _ in want.values()) > 5
