@@ -7,6 +7,7 @@ from vasculum.operators import geo
 from vasculum.operators.experts import expert_matches, integrate_expert
 from vasculum.plans.cleaner import check_coordinates, clean_columns, clean_expert, clean_records, standardise_names
 from vasculum.plans.filer import integrate, integrate_small_expert
+from vasculum.plans.finisher import finish
 from vasculum.schema import MASTER_COLUMNS, RAW_COLUMNS, SOURCES
 from vasculum.sources.readers import conform_master, read_expert, read_source
 from vasculum.sources.tables import (
@@ -295,3 +296,20 @@ def test_nearest_place_by_brute_force(spark):
     got = {r.id: (r.place, r.place_distance and round(r.place_distance, 3)) for r in geo.nearest_place(df, frame, {"label": "place"}, 600_000.0, size=4.0).collect()}
     assert got.pop(-1) == got.pop(-2) == (None, None) and got == want
     assert sum(label is None for label, _ in want.values()) > 5
+
+
+def test_final_cleaning_with_corrections(spark):
+    rows = [
+        (1, "Doe, J", "12", "K0012, 0012, K0", "Annona alba", "NY, New York"), (2, "Doe, J", "12", "771", "Annona alba", None),
+        (3, None, "5", "99", None, "Some Herbarium"), (4, "Roe, A", "1", None, None, "MO"),
+    ]
+    df = spark.createDataFrame(rows, "record_id long, recorded_by string, colnum string, barcode string, accepted_name string, herbarium_code string")
+    df = conform_master(df, ["record_id"])
+    done = finish(df, ["record_id"])
+    assert {r.record_id for r in done.to_check.collect()} == {2, 3}
+    clean = {r.record_id: (r.barcode, r.herbarium_code) for r in done.clean.collect()}
+    assert clean == {1: ("K0012, 771", None), 3: ("99", None), 4: (None, "MO")}
+    by_hand = spark.createDataFrame([(2, "P771"), (3, None)], "record_id long, barcode string")
+    again = finish(df, ["record_id"], by_hand)
+    assert {r.record_id: r.barcode for r in again.clean.collect()} == {1: "K0012, P771", 3: "99", 4: None}
+    assert {r.record_id for r in again.to_check.collect()} == {3}

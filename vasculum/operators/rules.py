@@ -27,6 +27,9 @@ SELF_WHOLE = [
     "orig_recby", "link", "source_id",
 ]
 
+FINAL_ALL = ["geo_issues", "modified", "orig_bc", "orig_recby"]
+FINAL_WHOLE = ["colnum_full", "det_by", "institute", "herbarium_code", "barcode", "link", "source_id"]
+
 # Gathering data, for which the collection's own record is better than an expert's.
 GATHERING = [
     "col_date", "col_day", "col_month", "col_year", "country_iso3", "country",
@@ -111,6 +114,11 @@ def self_merge() -> dict[str, Rule]:
     return _table(MASTER_COLUMNS, SELF_ALL, SELF_WHOLE)
 
 
+def final_merge() -> dict[str, Rule]:
+    """Records with the same collector and number in the final cleaning."""
+    return _table(MASTER_COLUMNS, FINAL_ALL, FINAL_WHOLE)
+
+
 def by_number_merge(names: bool, coordinates: bool) -> dict[str, Rule]:
     """Expert first, by collector and number. The expert gives names, coordinates or
     both; everything about the gathering stays the collection's."""
