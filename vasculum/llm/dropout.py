@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from vasculum.llm.storage import in_parts
 
-PART_CHARS = 500_000
+PART_CHARS = 60_000
 LONG_CHARS = 60
 SPACE = "▁"
 #: Stands for a SPACE that is in the text itself; a lone surrogate, which no text holds.
