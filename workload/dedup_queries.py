@@ -10,7 +10,7 @@ from vasculum.operators.dedup import dedup_master, dedup_raw, diverging_identifi
 from vasculum.operators.merge import (
     ascending_nulls_last, expert_first, first, merge_group, newest_first,
 )
-from vasculum.operators.premerge import explode_barcodes, merge_exploded, premerge, present, reduce_cells
+from vasculum.operators.premerge import explode_barcodes, premerge, present, reduce_cells
 from vasculum.plans.filer import integrate
 from vasculum.schema import (
     EXPERT_KEYS, GATHERING_KEYS, MASTER_SN_KEYS, NUMBERED_KEYS, RAW_SN_KEYS,
