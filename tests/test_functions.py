@@ -62,3 +62,18 @@ def test_indel_ratio(spark):
     rows = [("kitten", "sitting"), ("abc", "abc"), ("", "")]
     got = [round(r[0], 4) for r in one(spark, rows, "a string, b string", N.indel_ratio("a", "b"))]
     assert got == [61.5385, 100.0, 100.0]
+
+
+def test_record_ids_of_equal_rows(spark, monkeypatch):
+    from vasculum.sources import readers
+
+    monkeypatch.setattr(readers, "COPIES", 7)
+    rows = [("a", None)] * 40 + [(None, "a")] * 7 + [("a", ""), ("", "a"), ("1:a", None), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    ids = readers.number_copies(df, F.lit("s")).collect()
+    assert sorted(map(str, rows)) == sorted(str((r.x, r.y)) for r in ids)
+    assert len({r.record_id for r in ids}) == len(rows)
+    assert len({r.record_id.split("-")[0] for r in ids}) == len(set(rows))
+    again = readers.number_copies(df.repartition(5), F.lit("s")).collect()
+    assert sorted(r.record_id for r in again) == sorted(r.record_id for r in ids)
+    assert readers.number_copies(df.limit(0), F.lit("s")).count() == 0

@@ -14,6 +14,9 @@ from vasculum.schema import (
     EXPERT_COLUMNS, MASTER_COLUMNS, RAW_COLUMNS, SOURCES, SourceSpec, column_type,
 )
 
+#: Equal rows that one task writes out when they are numbered.
+COPIES = 10_000
+
 
 def read_delimited(spark: SparkSession, path: str, separator: str, multiline: bool = True) -> DataFrame:
     """Every column as text, line breaks in quoted cells included. Turn `multiline` off only for
@@ -29,10 +32,34 @@ def read_delimited(spark: SparkSession, path: str, separator: str, multiline: bo
     )
 
 
+def content_id(columns: list[str], *context: Column) -> Column:
+    """128 bits of the cells' text, as 32 characters; null and empty cells differ, and no two ways to cut a text into cells agree."""
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    parts = [F.when(t.isNull(), F.lit("-")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in [*context, *texts]]
+    return F.md5(F.concat_ws("|", *parts))
+
+
+def number_copies(df: DataFrame, *context: Column) -> DataFrame:
+    """Add `record_id`: an id from context and content, and a running number among equal rows; unique, and the same on every run.
+
+    Equal rows cannot be told apart, so it does not matter which of them gets which number. They are counted first, with a combine
+    on the map side, and written out again from the counts; a row held more than COPIES times is written by several tasks.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.select(*columns, content_id(df.columns, *context).alias("_id")).groupBy(*columns, "_id").agg(F.count(F.lit(1)).alias("_n"))
+    slices = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES))
+    few = counted.filter(F.col("_n") <= COPIES).withColumn("_slice", F.lit(0).cast("long"))
+    many = counted.filter(F.col("_n") > COPIES).withColumn("_slice", F.explode(slices)).repartition("_id", "_slice")
+    first = F.col("_slice") * COPIES + 1
+    number = F.explode(F.sequence(first, F.least(first + COPIES - 1, F.col("_n"))))
+    return few.unionByName(many).select(*columns, "_id", number.alias("_number")).select(
+        *columns, F.concat_ws("-", "_id", F.col("_number").cast("string")).alias("record_id")
+    )
+
+
 def with_record_id(df: DataFrame, source: str) -> DataFrame:
-    """An id from source, file and content: the same on every run and spread evenly."""
-    file = F.col("_metadata.file_name") if "_metadata" not in df.columns else F.lit("")
-    return df.select("*", F.xxhash64(F.lit(source), file, *[F.col(f"`{c}`") for c in df.columns]).alias("record_id"))
+    """The rows of files with a `record_id` from source, file and content."""
+    return number_copies(df, F.lit(source), F.col("_metadata.file_name"))
 
 
 def standardise_columns(df: DataFrame, spec: SourceSpec) -> DataFrame:

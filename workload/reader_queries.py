@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vasculum.functions.barcodes import tropicos_barcode
-from vasculum.sources.readers import conform_raw
+from vasculum.sources.readers import conform_raw, number_copies
 from vasculum.sources.tables import apply_corrections
 from workload.base import query, with_view
 from workload.view import specimens, table
@@ -52,3 +52,20 @@ def corrections(spark, folder):
     parts = apply_corrections(failed, by_hand, ["recorded_by", "det_by"])
     states = [part.withColumn("state", F.lit(state)) for part, state in zip(parts, ("corrected", "to correct"), strict=True)]
     return states[0].unionByName(states[1]).drop("record_id")
+
+
+def _part_sql(c):
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(length({c}) AS VARCHAR) || ':' || {c} END"
+
+
+# Rows of few columns, so that many are equal; some cells are null, some empty.
+REPEATED = """SELECT l_linestatus, CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE l_returnflag END AS flag,
+  CASE WHEN l_partkey % 3 > 0 THEN CAST(l_suppkey AS STRING) END AS number FROM lineitem"""
+
+
+@query("record_ids", f"""SELECT *, md5('1:T|0:|' || {" || '|' || ".join(map(_part_sql, ("l_linestatus", "flag", "number")))})
+  || '-' || CAST(row_number() OVER (PARTITION BY l_linestatus, flag, number) AS VARCHAR) AS record_id FROM ({REPEATED})""")
+def record_ids(spark, folder):
+    """An id for every row, equal rows included."""
+    table(spark, folder, "lineitem").createOrReplaceTempView("lineitem")
+    return number_copies(spark.sql(REPEATED), F.lit("T"), F.lit(""))
