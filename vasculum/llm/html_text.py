@@ -2,7 +2,7 @@
 
 Paragraphs earn points for their length and commas, pass them to their parent and, halved, to their grandparent, and a
 container's points are discounted by the share of its text that lies in links. The best container is kept, with those
-siblings that hold article text too.
+siblings that hold article text too. Every pass over a page takes time linear in its length, malformed or not.
 """
 
 from __future__ import annotations
@@ -27,6 +27,11 @@ BLOCKS = frozenset(
 )
 #: Elements and names of classes, ids and roles that are not article text.
 DROPPED = RAW | frozenset("head nav header footer aside form button select option input dialog menu canvas audio video object".split())
+#: A form, or an element dropped by its name unless the name is one of these, is article text after all if it holds more than half of the
+#: page's text outside links, and so many characters. Quotations are never dropped by a name.
+NEVER = re.compile(r"comment|disqus|repl(?:y|ies)|cookie|consent|gdpr|hidden|(?:^|[\s_-])(?:nav|navbar|navigation|menu|footer)(?:[\s_-]|$)", re.IGNORECASE)
+MOST, LEAST_MAIN = 0.5, 200
+QUOTED = frozenset("blockquote pre".split())
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|contentinfo|cookies?|disqus|footer|gdpr|hidden|masthead|menu|"
     r"modal|nav|navbar|navigation|newsletter|notice|pager|pagination|popup|promo|promoted|related|replies|reply|search|share|sharing|sidebar|skip|"
@@ -36,80 +41,184 @@ UNLIKELY = re.compile(
 #: Siblings of the article with these elements are text whatever their length; others from so many characters. At most this share may be in links.
 PROSE = frozenset("p pre blockquote ul ol dl table figure".split())
 LONG, MOST_LINKED = 80, 0.3
+BOUNDS = BLOCKS | {"option", "select"}
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot caption html body".split())
 ENDS_SELF = {"li": "ul ol menu dir", "dt": "dl", "dd": "dl", "tr": "table", "td": "table tr", "th": "table tr", "option": "select"}
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+NAME_END, SPECIAL = re.compile(r"[\s/>]"), re.compile("[>\"']")
 NAMES = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
 
 
 class _Node:
-    __slots__ = ("children", "dropped", "parent", "points", "tag")
+    __slots__ = ("block", "children", "dropped", "doubtful", "parent", "points", "size", "tag")
 
-    def __init__(self, tag: str, parent: _Node | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Node | None, dropped: bool = False, doubtful: bool = False):
+        self.tag, self.parent, self.dropped, self.doubtful = tag, parent, dropped, doubtful
         self.children: list[_Node | str] = []
-        self.points = 0.0
+        self.points, self.size = 0.0, 0
+        #: The nearest element, this one included, at which an omitted end tag may be supplied.
+        self.block = self if parent is None or tag in BOUNDS else parent.block
 
 
-def _unlikely(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
+def _unlikely(tag: str, attributes: str) -> tuple[bool, bool]:
+    """If an element is dropped, and if that is in doubt: it may hold the article."""
+    if tag in DROPPED and tag != "form":
+        return True, False
+    doubtful = tag == "form"
     if not attributes or tag in ("html", "body"):
-        return False
+        return doubtful, doubtful
+    dropped = doubtful
     for name, value in NAMES.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-        if name in ("class", "id", "role") and tag not in ("article", "main") and UNLIKELY.search(value):
-            return True
+            return True, False
+        if name in ("class", "id", "role") and tag not in ("article", "main") and tag not in QUOTED and UNLIKELY.search(value):
+            if NEVER.search(value):
+                return True, False
+            dropped = doubtful = True
         if name in ("class", "id") and tag == "article" and re.search(r"comment|reply", value, re.IGNORECASE):
-            return True
-    return False
+            return True, False
+    return dropped, doubtful
+
+
+class _Tags:
+    """Tags of a page, found with one forward cursor: what was searched once is remembered, so broken tags cost no second pass."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.seen: dict[re.Pattern, tuple[int, int]] = {}  # from where searched, where found
+        self.last: dict[str, int] = {}  # characters, and from where on there is no other
+        self.dead: set[int] = set()  # quotation marks from which no tag's end is reached
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        begin, found = self.seen.get(pattern, (0, -1))
+        if not begin <= at <= found:
+            match = pattern.search(self.html, at)
+            found = match.start() if match else len(self.html)
+            self.seen[pattern] = (at, found)
+        return found
+
+    def _find(self, mark: str, at: int) -> int:
+        found = -1 if at >= self.last.get(mark, len(self.html)) else self.html.find(mark, at)
+        if found < 0:
+            self.last[mark] = min(at, self.last.get(mark, at))
+        return found
+
+    def _end(self, at: int) -> int:
+        """The > that ends a tag's attributes; -1 if there is none outside quotation marks."""
+        passed = []
+        while (at := self._next(SPECIAL, at)) < len(self.html):
+            mark = self.html[at]
+            if mark == ">":
+                return at
+            close = -1 if at in self.dead else self._find(mark, at + 1)
+            passed.append(at)
+            if close < 0:
+                break
+            at = close + 1
+        self.dead.update(passed)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """Start, end, lower-case name (empty for comments and declarations), whether an end tag, attributes."""
+        html, at = self.html, 0
+        while (at := html.find("<", at)) >= 0:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                found = (at, end + 3 if end >= 0 else len(html), "", False, "")
+            elif html.startswith(("<!", "<?"), at):
+                end = self._find(">", at)
+                found = (at, end + 1, "", False, "") if end >= 0 else None
+            else:
+                begin = at + 1 + html.startswith("/", at + 1)
+                found = None
+                if html[begin : begin + 1].isascii() and html[begin : begin + 1].isalpha():
+                    stop = self._next(NAME_END, begin)
+                    end = self._end(stop)
+                    if end >= 0:
+                        found = (at, end + 1, html[begin:stop].lower(), begin == at + 2, html[stop:end])
+            if found is None:
+                at += 1
+                continue
+            jump = yield found
+            at = max(found[1], jump or 0)
+            if jump is not None:
+                yield found  # the answer to send
 
 
 def _tree(html: str) -> _Node:
-    """The page's elements, with omitted end tags supplied; unmatched end tags are ignored."""
+    """The page's elements, with omitted end tags supplied; unmatched end tags are ignored. Takes time linear in the page's length."""
     root = node = _Node("", None)
-    at, size = 0, len(html)
-    while at < size:
-        tag = TAG.search(html, at)
-        if tag is None:
-            node.children.append(html[at:])
-            break
-        if tag.start() > at:
-            node.children.append(html[at : tag.start()])
-        at, name = tag.end(), (tag[2] or "").lower()
+    opened: dict[str, int] = {}
+    tags = iter(_Tags(html))
+    text = 0
+
+    def close(last: _Node) -> _Node:
+        nonlocal node
+        while True:
+            done, node = node, node.parent
+            opened[done.tag] -= 1
+            if done is last:
+                return node
+
+    while (found := next(tags, None)) is not None:
+        start, at, name, ends, attributes = found
+        if start > text:
+            node.children.append(html[text:start])
+        text = at
         if not name:
             continue
-        if tag[1]:
-            up = node
-            while up is not root and up.tag != name:
-                up = up.parent
-            if up is not root:
-                node = up.parent
+        if ends:
+            if opened.get(name):
+                up = node
+                while up.tag != name:
+                    up = up.parent
+                close(up)
             continue
         if name in CLOSES_P or name in ENDS_SELF:
             stops = ENDS_SELF.get(name, "").split()
-            closes = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
-            up = node
+            closes = () if name not in ENDS_SELF else ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
+            up = node.block
             while up is not root and (up.tag not in BLOCKS or up.tag in closes or up.tag == "p"):
-                if up.tag == "p" and name in CLOSES_P or up.tag in closes and name in ENDS_SELF:
-                    node = up.parent
-                up = up.parent
-                if up.tag in stops:
+                parent = up.parent
+                if up.tag == "p" and name in CLOSES_P or up.tag in closes:
+                    close(up)
+                if parent.tag in stops:
                     break
-        child = _Node(name, node, _unlikely(name, tag[3]))
+                up = parent.block
+        child = _Node(name, node, *_unlikely(name, attributes))
         node.children.append(child)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(html, at)
-            at = end.end() if end else size
-        elif name not in VOID and not (tag[3].endswith("/") and name not in BLOCKS):
+            text = end.end() if end else len(html)
+            tags.send(text)
+        elif name not in VOID and not (attributes.endswith("/") and name not in BLOCKS):
             node = child
+            opened[name] = opened.get(name, 0) + 1
+    if text < len(html):
+        node.children.append(html[text:])
     return root
 
 
+def _restore(root: _Node) -> None:
+    """Take back in what was dropped in doubt but holds most of the page's text outside links."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, linked = stack.pop()
+        linked = linked or node.tag == "a"
+        order.append((node, linked))
+        stack.extend((c, linked) for c in node.children if isinstance(c, _Node) and (not c.dropped or c.doubtful))
+    if not any(node.doubtful for node, _ in order):
+        return
+    sizes: dict[int, int] = {}
+    for node, linked in reversed(order):
+        sizes[id(node)] = sum(sizes.get(id(c), 0) if isinstance(c, _Node) else 0 if linked else len(" ".join(c.split())) for c in node.children)
+    for node, _ in order:
+        if node.doubtful and sizes[id(node)] >= LEAST_MAIN and sizes[id(node)] > MOST * sizes[id(root)]:
+            node.dropped = False
+
+
 def _score(root: _Node) -> _Node:
     """The best container. Nodes that are dropped, and what is in them, neither give nor get points."""
     best, most = root, 0.0
@@ -132,7 +241,8 @@ def _score(root: _Node) -> _Node:
                 size, link = size + text[id(c)], link + links[id(c)]
                 if c.tag not in BLOCKS:
                     direct, commas = direct + own[id(c)][0], commas + own[id(c)][1]
-        text[id(node)], links[id(node)] = size, size if node.tag == "a" else link
+        node.size = text[id(node)] = size
+        links[id(node)] = size if node.tag == "a" else link
         own[id(node)] = (direct, commas)
     for node in order:
         if node.tag in BLOCKS and own[id(node)][0] and node.parent is not None:
@@ -231,8 +341,10 @@ def main_text(html: str | None) -> str:
     """Main text of a page; empty if it has none. Malformed pages are read as far as they go."""
     if not html:
         return ""
-    best = _score(_tree(html))
-    while best.parent is not None and _text_and_links([best.parent])[0] == _text_and_links([best])[0]:
+    root = _tree(html)
+    _restore(root)
+    best = _score(root)
+    while best.parent is not None and best.parent.size == best.size:
         best = best.parent  # a mere wrapper: the siblings stand beside it
     return "\n".join(_blocks(_with_siblings(best) if best.parent is not None else [best]))
 
