@@ -347,3 +347,19 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
         return rest.select(docs.columns)
     once = rest.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
     return rest.join(repeated, id_col, "left_anti").unionByName(once).select(docs.columns)
+
+
+#: The result of `near_duplicates` for words of two and 80 per cent, by an exact join of equal shingles; equal texts are one class throughout.
+SQL = r"""WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+  ELSE list_sort(list_distinct(list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1]))) END AS s FROM split),
+classes AS (SELECT s, min(doc_id) AS node, len(s) AS n FROM shingled WHERE len(s) > 0 GROUP BY s),
+entries AS (SELECT node, n, unnest(s) AS shingle FROM classes),
+links AS (SELECT a.node AS x, b.node AS y FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.node < b.node AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT node, node AS seen FROM classes UNION SELECT r.node, b.y FROM reach r JOIN edges b ON b.x = r.seen),
+least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id, d.doc_id = coalesce(l.component, d.doc_id) AS kept
+FROM shingled d LEFT JOIN classes c ON d.s = c.s LEFT JOIN least l ON l.node = c.node"""

@@ -141,4 +141,4 @@ QUERIES = {
     "op12_ranking": op12_ranking,
     "op13_mixing": op13_mixing,
 }
-ORACLES: dict[str, str] = {"op11_prefix_trie": prefix_trie.SQL, "op12_ranking": ranking.SQL, "op13_mixing": mixing.SQL}
+ORACLES: dict[str, str] = {"op8_minhash": minhash.SQL, "op11_prefix_trie": prefix_trie.SQL, "op12_ranking": ranking.SQL, "op13_mixing": mixing.SQL}
