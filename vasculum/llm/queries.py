@@ -141,4 +141,29 @@ QUERIES = {
     "op12_ranking": op12_ranking,
     "op13_mixing": op13_mixing,
 }
-ORACLES: dict[str, str] = {"op8_minhash": minhash.SQL, "op11_prefix_trie": prefix_trie.SQL, "op12_ranking": ranking.SQL, "op13_mixing": mixing.SQL}
+#: The result of `op5_preferences`.
+PREFERENCES_SQL = f"""WITH last AS (
+  SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last, arg_max({{'text': text}}, turn) FILTER (role = 'assistant') AS answer FROM conversations GROUP BY conv_id),
+dealt AS (SELECT conv_id, last, answer.text AS answer, conv_id % (SELECT greatest(1, CAST(ceil(count(*) / {PARTNERS}.0) AS BIGINT)) FROM last) AS part FROM last),
+paired AS (SELECT conv_id, last, coalesce(lead(answer) OVER (PARTITION BY part ORDER BY conv_id),
+  first_value(answer) OVER (PARTITION BY part ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), '') AS other FROM dealt),
+sides AS (SELECT conv_id, 1 AS side, turn, role, text FROM conversations
+  UNION ALL SELECT t.conv_id, 2, t.turn, t.role, t.text FROM conversations t JOIN paired p ON t.conv_id = p.conv_id WHERE p.last IS NULL OR t.turn < p.last
+  UNION ALL SELECT conv_id, 2, coalesce(last, 2147483647), 'assistant', other FROM paired),
+cleaned AS (SELECT conv_id, side, turn, replace(replace(coalesce(role, 'user'), '<|im_start|>', '<im_start>'), '<|im_end|>', '<im_end>') AS role,
+  replace(replace(coalesce(text, ''), '<|im_start|>', '<im_start>'), '<|im_end|>', '<im_end>') AS text FROM sides),
+turns AS (SELECT conv_id, side, {{'role': role, 'text': text, 'shown': '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)}} AS t, turn, role, text FROM cleaned),
+lists AS (SELECT conv_id, coalesce(list(t ORDER BY turn NULLS FIRST, role, text) FILTER (side = 1), []) AS c,
+  coalesce(list(t ORDER BY turn NULLS FIRST, role, text) FILTER (side = 2), []) AS r FROM turns GROUP BY conv_id),
+counted AS (SELECT *, coalesce(list_min(list_filter(generate_series(1, least(len(c), len(r))), lambda i: c[i].shown <> r[i].shown OR c[i].role <> r[i].role)) - 1,
+  least(len(c), len(r))) AS n FROM lists),
+cut AS (SELECT conv_id, n, c[1:n] AS head, c[n + 1:] AS c, r[n + 1:] AS r FROM counted),
+texts AS (SELECT conv_id AS pair_id, CAST(n AS BIGINT) AS n_common, coalesce(array_to_string(list_transform(head, lambda t: t.shown), ''), '') AS prompt,
+  coalesce(array_to_string(list_transform(c, lambda t: t.shown), ''), '') AS chosen, coalesce(array_to_string(list_transform(r, lambda t: t.shown), ''), '') AS rejected,
+  list_transform(list_filter(c, lambda t: t.role = 'assistant'), lambda t: length(t.text) + 10) AS cs,
+  list_transform(list_filter(r, lambda t: t.role = 'assistant'), lambda t: length(t.text) + 10) AS rs FROM cut)
+SELECT pair_id, n_common, md5(prompt) AS prompt_md5, md5(chosen) AS chosen_md5, md5(rejected) AS rejected_md5,
+  CAST(length(prompt) AS BIGINT) AS prompt_chars, CAST(length(chosen) AS BIGINT) AS chosen_chars, CAST(length(rejected) AS BIGINT) AS rejected_chars,
+  CAST(coalesce(list_sum(cs), 0) AS BIGINT) AS chosen_trained, CAST(coalesce(list_sum(rs), 0) AS BIGINT) AS rejected_trained, len(cs) > 0 AND len(rs) > 0 AS usable
+FROM texts"""
+ORACLES: dict[str, str] = {"op5_preferences": PREFERENCES_SQL, "op8_minhash": minhash.SQL, "op11_prefix_trie": prefix_trie.SQL, "op12_ranking": ranking.SQL, "op13_mixing": mixing.SQL}
