@@ -2,6 +2,7 @@
 
 import random
 from contextlib import contextmanager
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from vasculum.operators import rules as R
 from vasculum.operators.dedup import dedup_master, dedup_raw
 from vasculum.operators.filters import require
-from vasculum.operators.groups import crossfill, is_duplicate, number_in_group, with_group_values
+from vasculum.operators.groups import crossfill, is_duplicate, materialise, number_in_group, with_group_values
 from vasculum.operators.merge import const, expert_first, first, join, join_or_null, last, mean, merge_group, newest_first, size, variance
 from vasculum.operators.premerge import present, set_fingerprint
 from vasculum.schema import NUMBERED_KEYS
@@ -220,3 +221,44 @@ def test_fingerprints_tell_sets_apart(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)] + [(100 + i, s[::-1]) for i, s in enumerate(sets)], "id int, codes array<string>")
     prints = {r.id: (r._set_size, r._set_a, r._set_b) for r in df.withColumns(set_fingerprint(F.col("codes"))).collect()}
     assert len(set(prints.values())) == len(sets) and all(prints[i] == prints[100 + i] for i in range(len(sets)))
+
+
+def written(spark, make):
+    """Rows out and bytes that came into the checkpoint folder."""
+    def size():
+        folder = spark.sparkContext.getCheckpointDir()
+        return sum(f.stat().st_size for f in Path(folder.removeprefix("file:")).rglob("*") if f.is_file()) if folder else 0
+
+    materialise(spark.range(1))  # sets the folder
+    before = size()
+    rows = make().count()
+    return rows, size() - before
+
+
+def test_rows_are_written_compressed(spark):
+    """A wide table of few values takes little room, laid out by ranges or not."""
+    df = spark.range(100_000).select(
+        "id", (F.col("id") % 997).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("x"),
+        *[F.concat(F.lit(f"a value of column {i}: "), ((F.col("id") * 7_919) % 101).cast("string")).alias(f"c{i}") for i in range(20)],
+    )
+    rows, size = written(spark, lambda: materialise(df))
+    assert rows == 100_000 and size < 4_000_000
+    rows, size = written(spark, lambda: crossfill(df, ["k"], ["x"], ["id"]))
+    assert rows == 100_000 and size < 12_000_000
+    order = [F.col("id")]
+    table = {c: first() for c in df.columns} | {"c0": first(order=[F.col("x").isNull(), F.col("x"), F.col("id")])}
+    rows, size = written(spark, lambda: merge_group(df, ["k"], order, table))
+    assert rows == 997 and size < 6_000_000
+
+
+def test_rows_with_columns_of_no_type_can_be_written(spark):
+    df = spark.range(3).withColumn("nothing", F.lit(None))
+    assert [tuple(r) for r in materialise(df).orderBy("id").collect()] == [(0, None), (1, None), (2, None)]
+
+
+def test_keys_and_orders_that_are_no_plain_columns_of_the_rules(spark):
+    """A key and an order that no rule takes, an order's term that is computed, and a source that is a key too."""
+    df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 2, 4, "y"), (None, 3, 1, "z"), (None, 4, 2, None)], "k string, id long, other long, v string")
+    table = {"key": first("k"), "v": first(), "own": first("v", [-F.col("other"), F.col("id")]), "same": first("v", [F.col("other"), F.col("id")]), "n": size()}
+    got = {r.key: tuple(r)[1:] for r in merge_group(df, ["k"], [-F.col("id")], table).collect()}
+    assert got == {"a": ("y", "x", "y", 2), None: ("z", "z", "z", 2)}
