@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vasculum.operators import geo
 from vasculum.operators.experts import expert_matches, integrate_expert
+from vasculum.operators.groups import materialise
 from vasculum.plans.cleaner import check_coordinates, clean_columns, clean_expert, clean_records, standardise_names
 from vasculum.plans.filer import integrate, integrate_small_expert
 from vasculum.plans.finisher import finish
@@ -313,3 +314,28 @@ def test_final_cleaning_with_corrections(spark):
     again = finish(df, ["record_id"], by_hand)
     assert {r.record_id: r.barcode for r in again.clean.collect()} == {1: "K0012, P771", 3: "99", 4: None}
     assert {r.record_id for r in again.to_check.collect()} == {3}
+
+
+def test_coast_and_flags_are_searched_once_for_each_coordinate(spark):
+    """Many records at few coordinates meet segments as rows, one row a distinct coordinate; records keep their own values."""
+    segments = [(10.0 + 0.02 * i, 0.01 * i, 10.0 + 0.02 * i, 0.01 * i + 0.015) for i in range(6)]
+    cells = materialise(geo.coast_cells(spark.createDataFrame(segments, "lon1 double, lat1 double, lon2 double, lat2 double"), 5_000.0))
+    spots = [(10.01, 0.005), (10.047, 0.03), (9.98, 0.0), (12.0, 1.0), (None, 1.0), (None, None)]
+    df = spark.range(300).select(
+        "id", F.element_at(F.array(*[F.lit(x).cast("double") for x, _ in spots]), (F.col("id") % 6 + 1).cast("int")).alias("ddlong"),
+        F.element_at(F.array(*[F.lit(y).cast("double") for _, y in spots]), (F.col("id") % 6 + 1).cast("int")).alias("ddlat"),
+    )
+    found = geo.nearest_coast(df, cells, 5_000.0)
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id: r for r in found.collect()}
+    assert len(got) == 300 and found.columns == ["id", "ddlong", "ddlat", "coast_distance", "coast_lat", "coast_lon"]
+    for i, row in got.items():
+        x, y = spots[i % 6]
+        if x is None or x > 11:
+            assert row.coast_distance is None and row.coast_lat is None and row.coast_lon is None
+            continue
+        # The segments run north, so the nearest point of one is on its own meridian.
+        near = [(((a - x) ** 2 + (min(max(y, s), n) - y) ** 2) ** 0.5, min(max(y, s), n), a) for a, s, _, n in segments]
+        distance, lat, lon = min(near)
+        assert row.coast_distance == pytest.approx(distance * geo.METRES_PER_DEGREE, rel=1e-3)
+        assert (row.coast_lat, row.coast_lon) == (pytest.approx(lat, abs=1e-6), pytest.approx(lon, abs=1e-6))
