@@ -91,3 +91,20 @@ def test_licences_wrapped_over_lines(documents):
     for i, label in enumerate(templates):
         assert label in found[i].labels.split(",")
     assert found[50].labels == ""
+
+
+def test_medians_are_those_of_all_texts(documents):
+    """Thousands of distinct texts, some of them often, of two languages, an even and an odd number: the exact median of all, copies counted once."""
+    rng = random.Random(5)
+    words = {"en": "the dog and cat do not sleep here when they can run with their friends".split(), "de": "der hund und die katze schlafen nicht wenn sie mit ihren laufen".split()}
+    texts = {g: sorted({" ".join(rng.choice(w) for _ in range(rng.randrange(2, 30))) for _ in range(n)}) for (g, w), n in zip(words.items(), (1_500, 1_401), strict=True)}
+    rows = [(t, g) for g in texts for t in texts[g]] + [("the dog and the cat", "en")] * 200 + [(None, "en"), ("12 34", "de"), ("the dog and the cat", None)]
+    docs = documents([(i, t, g) for i, (t, g) in enumerate(rows)])
+    profiles = language.learn_profiles(docs, F.lit(True))
+    got = language.learn_medians(docs, F.lit(True), profiles)
+    identifier = language.Identifier(profiles)
+    for g in texts:
+        scores = sorted(score for lang, score in map(identifier, {t for t, lang in rows if t and lang == g}) if lang == g)
+        middle = len(scores) // 2
+        assert got[g] == (scores[middle] if len(scores) % 2 else (scores[middle - 1] + scores[middle]) / 2)
+    assert language.learn_medians(docs, F.lit(False), profiles) == {} and language.learn_medians(docs, F.lit(True), {}) == {}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vasculum.llm.storage import in_parts
+from vasculum.llm.storage import in_parts, stored
 
 #: N-grams of a language's profile, and of a document's.
 PROFILE_GRAMS, DOCUMENT_GRAMS = 400, 300
@@ -27,8 +27,8 @@ UNKNOWN = "und"
 NEEDED, MOST_NEEDED = 0.6, 0.45
 #: Texts of fewer distinct n-grams (a word or two) say less, so they need less: random words and real ones overlap there.
 SHORT_GRAMS, SHORT_NEEDED = 40, 0.4
-#: About so many distinct texts of each language are scored for the median.
-SCORED_DOCUMENTS = 500
+#: Steps of the histogram of scores that finds the median.
+SCORE_STEPS = 10_000
 PART_CHARS = 1_000_000
 
 
@@ -127,15 +127,37 @@ class Identifier:
 
 
 def learn_medians(docs: DataFrame, may_learn: Column, profiles: dict[str, list[int]], text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
-    """Median score of each language over about SCORED_DOCUMENTS distinct texts that `may_learn` allows and that are found to be in their language.
+    """Median score of each language over all distinct texts that `may_learn` allows and that are found to be in their language.
 
-    A median, so that junk among the texts moves it little; a language of which no text is found has none.
+    A median, so that junk among the texts moves it little; a language of which no text is found has none. It is exact: a histogram tells in which
+    of SCORE_STEPS steps the middle lies, and only the scores of that step are ordered.
     """
-    rows, _ = _drawn(docs, may_learn, text_col, lang_col, SCORED_DOCUMENTS)
-    if rows is None or not profiles:
+    if not profiles:
         return {}
-    found = identify(rows, profiles).filter("lang_pred = lang").groupBy("lang").agg(F.percentile("score", 0.5).alias("median"))
-    return {r["lang"]: r["median"] for r in found.collect()}  # one row a language
+    rows = docs.filter(may_learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")
+    )
+    # Copies meet by their hash, so no text is shuffled.
+    found = identify(rows, profiles).filter("lang_pred = lang").groupBy("lang", "hash").agg(F.min("score").alias("score"))
+    scores = stored(found.select("lang", "score", F.floor(F.col("score") * SCORE_STEPS).alias("step")), "scores")
+    counts: dict[str, list[tuple[int, int]]] = {}
+    for r in scores.groupBy("lang", "step").count().collect():  # SCORE_STEPS + 1 rows a language at most
+        counts.setdefault(r["lang"], []).append((r["step"], r["count"]))
+    medians = {}
+    for lang, steps in counts.items():
+        steps.sort()
+        total, before, wanted = sum(n for _, n in steps), 0, []
+        middle = {(total - 1) // 2, total // 2}
+        for step, n in steps:
+            wanted += [(step, place - before) for place in sorted(middle) if before <= place < before + n]
+            before += n
+        values = []
+        for step, place in wanted:
+            near = scores.filter((F.col("lang") == lang) & (F.col("step") == step)).groupBy("score").count()
+            up_to = F.sum("count").over(Window.orderBy("score"))
+            values.append(near.withColumn("up_to", up_to).filter(F.col("up_to") > place).agg(F.min("score")).first()[0])
+        medians[lang] = sum(values) / len(values)
+    return medians
 
 
 def least_score(median: float, grams: int) -> float:
