@@ -21,3 +21,26 @@ def tables_written(spark, make):
     before = set(folder.glob("rows-*"))
     rows = make().collect()
     return rows, len(set(folder.glob("rows-*")) - before)
+
+
+def test_large_tables_are_joined_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    day = datetime.date(1998, 5, 3)
+    tables = {
+        "nation": ([(1, "GABON")], "n_nationkey int, n_name string"),
+        "customer": ([(1, 1, "Doe, J"), (2, 1, "Roe, A")], "c_custkey long, c_nationkey int, c_name string"),
+        "supplier": ([(3, "Poe, B"), (4, "Doe, K")], "s_suppkey long, s_name string"),
+        "part": ([(5, "annona alba", "alba", "Brand#1")], "p_partkey long, p_name string, p_type string, p_brand string"),
+        "orders": ([(i, 1 + i % 2, day, "F") for i in range(30)], "o_orderkey long, o_custkey long, o_orderdate date, o_orderstatus string"),
+        "lineitem": (
+            [(i % 30, i // 30, 5, 3 + i % 2, 1.5, day, "ANR"[i % 3], "F", 0.0, 0.0) for i in range(90)] + [(None, 1, 5, 3, 1.5, day, "A", "F", 0.0, 0.0)],
+            "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_shipdate date, l_returnflag string,"
+            " l_linestatus string, l_tax double, l_discount double",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    small = view.specimens(spark, str(tmp_path))
+    monkeypatch.setattr(view, "JOINED_ROWS", 2)
+    large = view.specimens(spark, str(tmp_path))
+    assert large.count() == 90 and large.exceptAll(small).count() == 0 and small.exceptAll(large).count() == 0
+    assert large.select("k_order").rdd.getNumPartitions() == 45  # 91 rows; more than the session's 4
