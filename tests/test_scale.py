@@ -44,3 +44,21 @@ def test_large_tables_are_joined_in_tasks_of_bounded_rows(spark, tmp_path, monke
     large = view.specimens(spark, str(tmp_path))
     assert large.count() == 90 and large.exceptAll(small).count() == 0 and small.exceptAll(large).count() == 0
     assert large.select("k_order").rdd.getNumPartitions() == 45  # 91 rows; more than the session's 4
+
+
+def test_batches_of_long_cells_are_merged_in_pieces(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(["x" * 1_000_000] * 100)], ["id", "cell"])
+    pieces = list(groups.in_pieces(batch))
+    assert sum(p.num_rows for p in pieces) == 100 and max(p.nbytes for p in pieces) < 1.2 * groups.PACKED_BYTES
+    df = spark.range(60).select("id", (F.col("id") % 2).alias("k"), F.concat(F.col("id").cast("string"), F.expr("repeat('x', 1000000)")).alias("cell"))
+    cells = {r.k: r.cell for r in merge_group(df, ["k"], [F.col("id")], {"k": first(), "cell": join(", ")}).collect()}
+    assert cells == {k: ", ".join(f"{i}{'x' * 1_000_000}" for i in range(k, 60, 2)) for k in (0, 1)}
+
+
+def test_premerge_does_not_write_merged_rows_anew(spark):
+    schema = "record_id long, barcode string, status string, det_year int, expert_det string, accepted_name string"
+    master = spark.createDataFrame([(1, "K1", None, 2000, None, "a"), (2, "K2", None, None, None, "b"), (3, None, None, None, None, "c")], schema)
+    new = spark.createDataFrame([(4, "K1, K2, K1", None, 2001, None, "d"), (5, "K3", None, None, None, "e")], schema)
+    out, tables = tables_written(spark, lambda: premerge(master, new, ["record_id"]))
+    assert sorted((r.barcode, r.accepted_name) for r in out) == [("K1, K2", "d"), ("K3", "e")]
+    assert tables == 3
