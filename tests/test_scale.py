@@ -23,6 +23,16 @@ def tables_written(spark, make):
     return rows, len(set(folder.glob("rows-*")) - before)
 
 
+def test_rows_that_spark_leaves_out_are_counted(spark):
+    """The job of rows that are filtered away as a whole has no count of its own."""
+    ledger = Ledger()
+    rows = ledger.before("split", spark.range(10))
+    ledger.after("split", rows.filter(F.lit(False))).write.format("noop").mode("overwrite").save()
+    other = ledger.before("empty", spark.range(1000).repartition(5, "id")).join(spark.range(10).filter("id % 7 > 100").repartition(4, "id"), "id")
+    ledger.after("empty", other).write.format("noop").mode("overwrite").save()
+    assert ledger.counts() == [("split", 10, 0, False), ("empty", 1000, 0, False)]
+
+
 def test_large_tables_are_joined_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
     day = datetime.date(1998, 5, 3)
     tables = {
@@ -55,6 +65,27 @@ def test_batches_of_long_cells_are_merged_in_pieces(spark):
     assert cells == {k: ", ".join(f"{i}{'x' * 1_000_000}" for i in range(k, 60, 2)) for k in (0, 1)}
 
 
+SCHEMA = "record_id long, recorded_by string, prefix string, colnum string, sufix string, det_by string, det_year int, accepted_name string, expert_det string, modified string"
+
+
+def test_expert_by_number_writes_rows_once(spark):
+    """Records that meet none stay as they were, those that meet merge, and rows are written before and after the merge only."""
+    rows = [
+        (1, "Doe, J", None, "1", None, "a", 2000, "old", "EXP", "m1"), (2, "Doe, J", None, "2", None, "b", 2001, "kept", "EXP", "m2"),
+        (3, "Doe, J", None, "2", "A", "c", None, None, None, None), (4, "Poe, B", None, "1", None, "d", 2002, "far", None, "m4"),
+        (5, "Doe, J", None, None, None, "e", 2003, "bare", None, "m5"),
+    ]
+    master = spark.createDataFrame(rows, SCHEMA)
+    expert = spark.createDataFrame([(10, "Doe, J", None, "1", None, "x", 2020, "new", None), (11, "Doe, J", None, "7", None, "x", 2020, "own", None)], SCHEMA.rsplit(",", 1)[0])
+    out, tables = tables_written(spark, lambda: integrate_expert_by_number(master, expert, ["record_id"]))
+    got = {r.record_id: (r.accepted_name, r.expert_det, r.modified, r.det_year) for r in out}
+    assert len(out) == 6 and got == {
+        10: ("new", "SMALLEXP", None, 2020), 2: ("kept", "EXP", "m2", 2001), 3: (None, None, None, None), 4: ("far", None, "m4", 2002),
+        5: ("bare", None, "m5", 2003), 11: ("own", None, None, 2020),
+    }
+    assert tables == 2
+
+
 def test_premerge_does_not_write_merged_rows_anew(spark):
     schema = "record_id long, barcode string, status string, det_year int, expert_det string, accepted_name string"
     master = spark.createDataFrame([(1, "K1", None, 2000, None, "a"), (2, "K2", None, None, None, "b"), (3, None, None, None, None, "c")], schema)
