@@ -1,15 +1,20 @@
 """What a run writes, counts and holds at once, on rows of the tests' own."""
 
 import datetime
+import re
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from vasculum.functions.nulls import normalise_nulls
 from vasculum.operators import groups
-from vasculum.operators.experts import integrate_expert_by_number
+from vasculum.operators.authorities import resolve_collectors
+from vasculum.operators.experts import integrate_expert_by_number, self_deduplicate
+from vasculum.operators.fuzzy import best_names, prepare_reference
 from vasculum.operators.merge import first, join, merge_group
 from vasculum.operators.premerge import premerge
+from vasculum.plans.finisher import finish
 from vasculum.sources.tables import Ledger
 from workload import view
 
@@ -93,3 +98,72 @@ def test_premerge_does_not_write_merged_rows_anew(spark):
     out, tables = tables_written(spark, lambda: premerge(master, new, ["record_id"]))
     assert sorted((r.barcode, r.accepted_name) for r in out) == [("K1, K2", "d"), ("K3", "e")]
     assert tables == 3
+
+
+def counted(spark, column):
+    """A copy of a text column, and the number of rows for which it has been computed."""
+    done = spark.sparkContext.accumulator(0)
+
+    def copy(text):
+        done.add(1)
+        return text
+
+    return F.udf(copy, "string")(column), done
+
+
+def test_names_are_computed_once(spark):
+    """Collectors' names are regular expressions over all rows: a search for their best names reads them once, not for each join."""
+    name, done = counted(spark, F.concat(F.lit("Doe"), F.col("id") % 5, F.lit(", A")))
+    reference = prepare_reference(spark.createDataFrame([("Doe1, A",), ("Roe, B",)], "listed string"), "listed")
+    found = best_names(spark.range(100).select(name.alias("who")), "who", reference, 2).collect()
+    assert len(found) == 5 and {r.best_name for r in found} == {"Doe1, A"}
+    assert done.value == 100
+
+
+def test_collectors_are_computed_once(spark):
+    name, done = counted(spark, F.concat(F.element_at(F.array(*map(F.lit, ("Doe", "Roe", "Poe", "Moe", "Coe"))), (F.col("id") % 5 + 1).cast("int")), F.lit(", A")))
+    rows = spark.range(100).select("id", name.alias("recorded_by"), F.lit("Doe, A").alias("orig_recby"), F.lit(1900).alias("col_year"))
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("huh_name", "geo_col", "wiki_url")})
+    people = spark.createDataFrame([(1, "Roe, Ann", 1850, None, "Gabon", None)], "link_id long, name string, dobirth int, dodeath int, geo_col string, wiki_url string")
+    resolved = resolve_collectors(rows, people, ["id"]).collect()
+    assert len(resolved) == 100 and sum(r.huh_name == "Roe, Ann" for r in resolved) == 20
+    assert done.value == 100
+
+
+def test_records_are_computed_once_for_merge_and_rest(spark):
+    """Records that can be merged and those that cannot come from rows that are written once."""
+    code, done = counted(spark, F.concat(F.lit("K"), F.col("id")))
+    columns = "genus specific_epithet sufix prefix det_by country locality institute herbarium_code orig_bc orig_recby link status accepted_name"
+    rows = spark.range(40).select(
+        F.col("id").alias("k_order"), F.lit("Doe, J").alias("recorded_by"), F.when(F.col("id") < 30, (F.col("id") % 10).cast("string")).alias("colnum"),
+        code.alias("barcode"), F.lit(1900).alias("det_year"), F.lit(None).cast("string").alias("expert_det"), F.lit("x").alias("source_id"),
+        *[F.lit(None).cast("string").alias(c) for c in columns.split()],
+    )
+    assert self_deduplicate(rows, ["k_order"]).count() == 20
+    assert done.value == 40
+    done.value = 0
+    finished = finish(rows, ["k_order"])
+    assert finished.clean.count() == 20 and finished.to_check.count() == 0
+    assert done.value == 40
+
+
+def test_code_for_missing_values_is_small(spark):
+    """Java does not compile methods of over 8,000 bytes; the missing values of a table of 40 columns stay below."""
+    texts = spark.range(8).selectExpr(*[f"array('', '-9999', ' nan ', 'x', '<NA>', null, 'a,b', ',')[id] as c{i}" for i in range(25)], "id")
+    rows = groups.materialise(texts)
+    fixed = normalise_nulls(rows)
+    assert [r.c3 for r in fixed.orderBy("id").collect()] == [None, None, None, "x", None, None, "a,b", ","]
+    told = spark._jvm.PythonSQLUtils.explainString(fixed._jdf.queryExecution(), "codegen")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", told))) < 8000
+
+
+def test_rows_and_shuffles_of_a_step_are_removed(spark):
+    """What a merge or scan has written for its layout goes when its result is written; the session's settings stay."""
+    groups.materialise(spark.range(1))  # sets the folder
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows, before, was = spark.range(100).selectExpr("id % 7 as k", "id", "cast(null as string) as x"), set(folder.glob("rows-*")), spark.conf.get(setting)
+    merged = merge_group(rows, ["k"], [F.col("id")], {"k": first(), "id": first()})
+    filled = groups.crossfill(rows, ["k"], ["x"], ["id"])
+    assert sum(any(f.suffix == ".parquet" for f in made.iterdir()) for made in set(folder.glob("rows-*")) - before) == 1  # the merged rows
+    assert sorted(r.id for r in merged.collect()) == list(range(7)) and filled.count() == 100 and spark.conf.get(setting) == was

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vasculum.functions.names import given_names, initials, standardise_name, surname
 from vasculum.functions.values import taxon_key
+from vasculum.operators.groups import materialise
 
 # Outcomes of a name search, and the address of a name's record.
 ACCEPTED, SYNONYM = "ACCEPTED", "SYNONYM"
@@ -113,6 +114,7 @@ def resolve_collectors(df: DataFrame, botanists: DataFrame, order: list[str]) ->
     the collecting year where dates are known. Unless exactly one is left the
     standardised name stays.
     """
+    df = materialise(df)  # read twice; standardised names are dear to compute
     latest = F.struct(*order)
     asked = (
         df.filter(F.col("recorded_by").isNotNull())

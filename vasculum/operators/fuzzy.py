@@ -131,14 +131,13 @@ def best_names(df: DataFrame, column: str, reference: DataFrame, distance: int |
     most similar first names, with a check whether the first initials agree.
     With a `distance`, surnames are compared by edits and those further than it from all others have no match.
     `reference` comes from `prepare_reference`."""
-    asked = (
-        df.select(F.col(column).alias("name")).filter(F.col(column).isNotNull()).distinct()
-        .withColumns(
-            {
-                "surname": surname(F.col("name")),
-                "given": F.coalesce(given_names(F.col("name")), F.lit(" ")),
-            }
-        )
+    # Written once: names are often dear to compute (regular expressions over all rows), and are read several times from here.
+    names = materialise(df.select(F.col(column).alias("name")).distinct())
+    asked = names.filter("name is not null").withColumns(
+        {
+            "surname": surname(F.col("name")),
+            "given": F.coalesce(given_names(F.col("name")), F.lit(" ")),
+        }
     )
     nearest = nearest_surnames(asked, reference) if distance is None else near_surnames(asked, reference, distance)
     score = levenshtein_similarity(F.col("given"), F.col("ref_given"))

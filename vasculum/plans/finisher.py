@@ -10,6 +10,7 @@ from vasculum.functions.barcodes import code_tokens, has_bare_number, tidy_barco
 from vasculum.functions.nulls import normalise_nulls
 from vasculum.operators import rules as R
 from vasculum.operators.filters import clear_surname_prefix, split_usable_key
+from vasculum.operators.groups import materialise
 from vasculum.operators.merge import ascending_nulls_last, expert_first, merge_group, newest_first
 from vasculum.operators.premerge import present
 from vasculum.schema import EXPERT_KEYS, NO_BARCODE
@@ -42,12 +43,13 @@ def finish(
     An expert's record ranks first, then the newest determination, then the name, then `order`, which must be total. Records without collector or
     number stay as they are. `corrected` holds barcodes put right by hand, by `key`: they replace those of the table first.
     """
-    tidy = tidy_codes(clear_surname_prefix(normalise_nulls(df)))
+    # Written once, for the merge, the records that stay as they are, and those to check.
+    tidy = materialise(tidy_codes(clear_surname_prefix(normalise_nulls(df))))
     bare = F.coalesce(has_bare_number(F.col("barcode")), F.lit(False))
     if corrected is not None:
         fixed, left = apply_corrections(tidy.filter(bare), corrected, ["barcode"], key)
         tidy = tidy.filter(~bare).unionByName(fixed).unionByName(left)
     usable, others = split_usable_key(tidy)
     rank = [expert_first(), *newest_first(), *ascending_nulls_last("accepted_name"), *map(F.col, order)]
-    merged = merge_group(usable, EXPERT_KEYS, rank, present(usable, R.final_merge(), [*order, *keep]))
+    merged = merge_group(usable, EXPERT_KEYS, rank, present(usable, R.final_merge(), [*order, *keep]), stored=corrected is None)
     return Finished(merged.unionByName(others.select(*merged.columns)), tidy.filter(bare))
