@@ -441,3 +441,13 @@ def test_pipeline(spark, documents, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_dropout_of_words_at_once_is_that_of_each_alone():
+    """All words of a part, worked on at once, have the ids of an agenda of their own for each."""
+    model = dropout.Model(public_tokenizers.path("piece_bpe_32k.model"))
+    words = ["▁straight", "▁", "▁naïve", "x", "▁a" + dropout.LITERAL, "▁語彙", "▁tokenisation"] * 5
+    seeds = dropout._mixed(np.arange(len(words)).astype(np.uint64))
+    flat, counts = model.segment(words, seeds, 0.3)
+    alone = [model.segment_alone(w, int(s), int(0.3 * 2**64)) for w, s in zip(words, seeds, strict=True)]
+    assert counts.tolist() == [len(x) for x in alone] and flat.tolist() == [i for x in alone for i in x]

@@ -96,8 +96,10 @@ class Model:
         """The piece that each pair merges to, or -1."""
         keys = np.where((left >= 0) & (right >= 0), left << 32 | right, -2)
         slots = self._slots(keys)
-        out = np.full(len(keys), -1, np.int64)
-        open_ = np.arange(len(keys))
+        at = self.keys[slots]
+        out = np.where(at == keys, self.merged[slots], -1)
+        open_ = np.flatnonzero((at != keys) & (at >= 0))  # few: most are found, or not, at once
+        slots[open_] = (slots[open_] + 1) & ((1 << self.bits) - 1)
         while len(open_):
             at = self.keys[slots[open_]]
             hit = at == keys[open_]
@@ -182,19 +184,22 @@ class Model:
 
         def candidates(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Merged piece, and priority (0: none), of the pairs that begin at the positions."""
-            to = np.full(len(at), -1, np.int64)
-            inner = np.flatnonzero(at + 1 < len(symbols))
-            inner = inner[word[at[inner]] == word[at[inner] + 1]]
+            to, priority = np.full(len(at), -1, np.int64), np.zeros(len(at), np.int64)
+            last = len(symbols) - 1
+            inner = np.flatnonzero((at < last) & (word[at] == word[np.minimum(at + 1, last)]))
             x = at[inner]
-            to[inner] = self.pair(symbols[x], symbols[x + 1])
+            found = self.pair(symbols[x], symbols[x + 1])
+            some = np.flatnonzero(found >= 0)
+            inner, x, found = inner[some], x[some], found[some]
             if rate > 0:
-                y = inner[to[inner] >= 0]
-                x = at[y]
-                after = np.minimum(x + 2, len(symbols) - 1)
-                end = np.where((x + 2 < len(symbols)) & (word[after] == word[x]), start[after], sizes[word[x]])
+                own, after = word[x], np.minimum(x + 2, last)
+                end = np.where((x + 2 <= last) & (word[after] == own), start[after], sizes[own])
                 place = (start[x] << 42 | start[x + 1] << 21 | end).astype(np.uint64)
-                to[y[_mixed(_mixed(seeds[word[x]] ^ place)) < limit]] = -1
-            return to, np.where(to >= 0, self.rank[to] << 24 | (1 << 24) - 1 - np.minimum(start[at], (1 << 24) - 1), 0)
+                some = np.flatnonzero(_mixed(_mixed(seeds[own] ^ place)) >= limit)
+                inner, x, found = inner[some], x[some], found[some]
+            to[inner] = found
+            priority[inner] = self.rank[found] << 24 | (1 << 24) - 1 - np.minimum(start[x], (1 << 24) - 1)
+            return to, priority
 
         to, priority = candidates(np.arange(len(symbols)))
         while len(symbols):
@@ -203,7 +208,8 @@ class Model:
             counts = np.diff(np.append(heads, len(symbols)))
             if (best == 0).any():  # words without candidates are done
                 going = np.repeat(best > 0, counts)
-                done.append((word[~going], symbols[~going]))
+                gone, going = np.flatnonzero(~going), np.flatnonzero(going)
+                done.append((word[gone], symbols[gone]))
                 symbols, word, start, to, priority = (x[going] for x in (symbols, word, start, to, priority))
                 best, counts = best[best > 0], counts[best > 0]
                 if not len(symbols):
@@ -212,6 +218,7 @@ class Model:
             symbols[here] = to[here]
             stay = np.ones(len(symbols), bool)
             stay[here + 1] = False
+            stay = np.flatnonzero(stay)
             moved = here - np.arange(len(here))  # each merge before has taken one symbol away
             symbols, word, start, to, priority = (x[stay] for x in (symbols, word, start, to, priority))
             at = np.concatenate([moved, moved[moved > 0] - 1])
