@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from vasculum.functions.nulls import bind, blank_to_null
@@ -78,16 +80,25 @@ def tropicos_barcode(specimen_id: Column) -> Column:
     return F.concat(F.lit("MO"), specimen_id)
 
 
+def _of_one_or_many(cell: Column, keep: Column, many: Callable[[Column], Column]) -> Column:
+    """The cell of one value if `keep` holds, or what `many` makes of several: most cells hold one and need not be taken apart."""
+    one = F.when(keep, blank_to_null(cell))
+    return F.when(F.instr(cell, DEFAULT_SEPARATOR) == 0, one).when(cell.isNotNull(), many(cell))
+
+
 def tidy_barcode_cell(cell: Column) -> Column:
     """Drop bare numbers that another code in the cell already ends with, and empty
     codes such as `K0`."""
-    tokens = F.split(cell, DEFAULT_SEPARATOR)
-    kept = F.filter(
-        tokens,
-        lambda t: ~t.rlike(EMPTY_CODE)
-        & ~(t.rlike(r"^\d+$") & F.exists(tokens, lambda o: (o != t) & o.endswith(t))),
-    )
-    return blank_to_null(F.array_join(kept, DEFAULT_SEPARATOR))
+
+    def tidy(tokens: Column) -> Column:
+        kept = F.filter(
+            tokens,
+            lambda t: ~t.rlike(EMPTY_CODE)
+            & ~(t.rlike(r"^\d+$") & F.exists(tokens, lambda o: (o != t) & o.endswith(t))),
+        )
+        return F.array_join(kept, DEFAULT_SEPARATOR)
+
+    return _of_one_or_many(cell, ~cell.rlike(EMPTY_CODE), lambda many: bind(bind(F.split(many, DEFAULT_SEPARATOR), tidy), blank_to_null))
 
 
 def has_bare_number(cell: Column) -> Column:
@@ -99,5 +110,9 @@ def has_bare_number(cell: Column) -> Column:
 
 def code_tokens(cell: Column) -> Column:
     """Only the code-like values of an institute or herbarium cell."""
-    kept = F.filter(F.split(cell, DEFAULT_SEPARATOR), lambda t: ~t.rlike(CAPITALISED_WORD))
-    return blank_to_null(F.array_join(kept, DEFAULT_SEPARATOR))
+
+    def kept(many: Column) -> Column:
+        codes = F.filter(F.split(many, DEFAULT_SEPARATOR), lambda t: ~t.rlike(CAPITALISED_WORD))
+        return bind(F.array_join(codes, DEFAULT_SEPARATOR), blank_to_null)
+
+    return _of_one_or_many(cell, ~cell.rlike(CAPITALISED_WORD), kept)

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from vasculum.functions.barcodes import code_tokens, has_bare_number, tidy_barcode_cell
-from vasculum.functions.nulls import normalise_nulls
+from vasculum.functions.nulls import bind, normalise_nulls
 from vasculum.operators import rules as R
 from vasculum.operators.filters import clear_surname_prefix, split_usable_key
 from vasculum.operators.groups import materialise
@@ -28,9 +28,9 @@ def tidy_codes(df: DataFrame) -> DataFrame:
     """Barcode cells without doubled and empty codes; institute and herbarium cells without words that are no codes."""
     return df.withColumns(
         {
-            "barcode": F.nullif(tidy_barcode_cell(F.col("barcode")), F.lit(NO_BARCODE)),
-            "herbarium_code": code_tokens(F.col("herbarium_code")),
-            "institute": code_tokens(F.col("institute")),
+            "barcode": bind(F.col("barcode"), lambda cell: F.nullif(tidy_barcode_cell(cell), F.lit(NO_BARCODE))),
+            "herbarium_code": bind(F.col("herbarium_code"), code_tokens),
+            "institute": bind(F.col("institute"), code_tokens),
         }
     )
 
