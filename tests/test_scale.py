@@ -167,3 +167,48 @@ def test_rows_and_shuffles_of_a_step_are_removed(spark):
     filled = groups.crossfill(rows, ["k"], ["x"], ["id"])
     assert sum(any(f.suffix == ".parquet" for f in made.iterdir()) for made in set(folder.glob("rows-*")) - before) == 1  # the merged rows
     assert sorted(r.id for r in merged.collect()) == list(range(7)) and filled.count() == 100 and spark.conf.get(setting) == was
+
+
+def test_only_keys_of_many_rows_are_laid_out_by_ranges(spark):
+    """Finding ranges reads whole rows once more, so rows are dealt by the key's hash; a key of too many rows still goes over tasks, in order."""
+    small_tasks = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(small_tasks)
+    spark.conf.set(small_tasks, "false")
+    try:
+        layouts(spark)
+    finally:
+        spark.conf.set(small_tasks, was)
+
+
+def layouts(spark):
+    rows = spark.range(100_000).select("id", (F.col("id") % 5_000).alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    laid, path, short = groups.in_runs(rows, ["k"], ["id"])
+    plan = spark._jvm.PythonSQLUtils.explainString(laid._jdf.queryExecution(), "formatted")
+    assert "hashpartitioning(k" in plan and "rangepartitioning" not in plan and short
+    assert laid.count() == 100_000 and laid.select("k", F.spark_partition_id()).distinct().count() == 5_000
+    groups.remove_rows(spark, path)
+
+    skewed = rows.withColumn("k", F.when(F.col("id") % 3 > 0, F.col("k")))
+    laid, path, _ = groups.in_runs(skewed, ["k"], ["id"])
+    placed = [(r.k, r.id, r.task) for r in laid.withColumn("task", F.spark_partition_id()).collect()]
+    groups.remove_rows(spark, path)
+    assert sorted(i for _, i, _ in placed) == list(range(100_000))
+    assert len({task for k, _, task in placed if k is None}) > 1
+    assert [i for k, i, _ in sorted(placed, key=lambda row: row[2]) if k is None] == list(range(0, 100_000, 3))
+    assert len({(k, task) for k, _, task in placed if k is not None}) == 5_000
+
+
+def test_bytes_of_a_batch_are_heeded_unless_rows_are_short(spark):
+    name, rows = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(20).select("id", (F.col("id") % 2).alias("k"))
+    long_cells = rows.withColumn("cell", F.when(F.col("id") == 7, F.expr("repeat('x', 3000)")))
+    nested, none = rows.withColumn("cell", F.array("id")), rows.filter(F.lit(False))
+    assert [groups.in_runs(df, ["k"], ["id"])[2] for df in (rows, long_cells, nested, none)] == [True, False, False, False]
+    assert not groups.in_runs(rows, ["k"], ["id"], stored=True)[2]
+    was = spark.conf.get(name)
+    with groups.batches_by_rows(spark, False):
+        assert spark.conf.get(name) == was
+    with groups.batches_by_rows(spark, True):
+        assert spark.conf.get(name) != was
+    assert spark.conf.get(name) == was
+    for df in (rows, none):
+        assert sorted(r.id for r in merge_group(df, ["k"], [F.col("id")], {"id": first()}).collect()) == [r.id for r in df.limit(2).collect()]
