@@ -5,18 +5,20 @@ import re
 from pathlib import Path
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from vasculum.functions.nulls import normalise_nulls
-from vasculum.operators import groups
+from vasculum.operators import consolidate, dedup, experts, groups, merge
 from vasculum.operators.authorities import resolve_collectors
 from vasculum.operators.experts import integrate_expert_by_number, self_deduplicate
 from vasculum.operators.fuzzy import best_names, prepare_reference
 from vasculum.operators.merge import first, join, merge_group
 from vasculum.operators.premerge import premerge
 from vasculum.plans.finisher import finish
+from vasculum.schema import NUMBERED_KEYS
 from vasculum.sources.tables import Ledger
-from workload import view
+from workload import expert_queries, geo_queries, view
 
 
 def tables_written(spark, make):
@@ -212,3 +214,106 @@ def test_bytes_of_a_batch_are_heeded_unless_rows_are_short(spark):
     assert spark.conf.get(name) == was
     for df in (rows, none):
         assert sorted(r.id for r in merge_group(df, ["k"], [F.col("id")], {"id": first()}).collect()) == [r.id for r in df.limit(2).collect()]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Tables of 150 orders with eight lines each."""
+    at = str(tmp_path_factory.mktemp("tables"))
+    tables = {
+        "nation": (5, "cast(id as int) n_nationkey", "concat(substr('GACOBEKEUG', cast(2 * id + 1 as int), 2), ' land') n_name"),
+        "customer": (20, "id c_custkey", "cast(id % 5 as int) c_nationkey", "concat('Doe', id, ', J') c_name"),
+        "supplier": (30, "id s_suppkey", "concat('Poe', id, ', B') s_name"),
+        "part": (60, "id p_partkey", "concat('annona', id % 3, ' alba') p_name", "concat('alba', id % 4) p_type", "concat('Brand#', id % 3) p_brand"),
+        "orders": (150, "id o_orderkey", "id % 20 o_custkey", "substr('FOP', cast(id % 3 + 1 as int), 1) o_orderstatus", "id * 2.5D o_totalprice",
+                   "date_add(date'1994-01-01', cast(id % 600 as int)) o_orderdate", "concat('P', id % 3) o_orderpriority"),
+        "lineitem": (1200, "id % 150 l_orderkey", "cast(id div 150 % 7 + 1 as int) l_linenumber", "id * 7 % 60 l_partkey", "id * 11 % 30 l_suppkey",
+                     "id * 1.5D l_extendedprice", "date_add(date'1995-01-01', cast(id % 900 as int)) l_shipdate", "substr('ANR', cast(id % 3 + 1 as int), 1) l_returnflag",
+                     "if(id % 2 = 0, 'F', 'O') l_linestatus", "id % 9 * 0.01D l_tax", "id % 11 * 0.01D l_discount"),
+    }
+    for name, (rows, *columns) in tables.items():
+        spark.range(rows).coalesce(1).selectExpr(*columns).write.parquet(f"{at}/{name}.parquet")
+    return at
+
+
+def in_parts_and_whole(spark, folder, monkeypatch, make):
+    """What `make` gives for the view of files, worked on as a whole and in parts of few bytes, as sorted text."""
+    whole = sorted(map(str, make(view.specimens(spark, folder), folder).collect()))
+    seen = []
+
+    class Noted(groups.Parts):
+        def each(self, every=False):
+            for part in super().each(every):
+                seen.append(self.many)
+                yield part
+
+    for module in (groups, dedup, experts, merge, consolidate):
+        monkeypatch.setattr(module, "Parts", Noted)
+    monkeypatch.setattr(groups, "PART_BYTES", 12_000)
+    monkeypatch.setattr(groups, "STORED_PART_BYTES", 24_000)
+    parts = sorted(map(str, make(view.specimens(spark, folder), folder).collect()))
+    assert sum(seen) > 1
+    return whole, parts
+
+
+def test_merges_in_parts(spark, folder, monkeypatch):
+    """Rows of large files are shuffled part by part; the records are the same, cells and order included."""
+    rules = {"colnum": first(), "k_order": first(), "cells": join(", ", "det_by")}
+    whole, parts = in_parts_and_whole(spark, folder, monkeypatch, lambda df, _: merge_group(df, ["recorded_by", "colnum"], [F.col(c) for c in view.ORDER], rules))
+    assert whole == parts and len(whole) > 100
+
+
+def test_deduplication_in_parts(spark, folder, monkeypatch):
+    def make(df, _):
+        done = dedup.dedup_raw(df.filter("colnum is not null"), NUMBERED_KEYS, view.ORDER)
+        columns = ["k_order", "k_line", "k_part", "k_supp", *NUMBERED_KEYS, "det_by"]
+        return done.clean.select(*columns, F.lit(1).alias("clean")).unionByName(done.quarantine.select(*columns, F.lit(0).alias("clean")))
+
+    whole, parts = in_parts_and_whole(spark, folder, monkeypatch, make)
+    assert whole == parts
+
+
+def test_experts_in_parts(spark, folder, monkeypatch):
+    def make(df, folder):
+        out = integrate_expert_by_number(df, expert_queries.experts(spark, folder, True, True).filter("k_order % 3 = 0"), view.ORDER)
+        united = experts.integrate_expert(df.withColumn("barcode", F.expr("if(k_line % 7 > 0, barcode, null)")), expert_queries.experts(spark, folder), view.ORDER)
+        columns = ["k_order", "k_line", "recorded_by", "colnum", "accepted_name", "expert_det", "det_by", "barcode"]
+        return out.select(*columns).unionByName(united.select(*columns))
+
+    whole, parts = in_parts_and_whole(spark, folder, monkeypatch, make)
+    assert whole == parts
+
+
+def test_updates_by_barcode_in_parts(spark, folder, monkeypatch):
+    def make(df, folder):
+        return experts.update_by_barcode(df, expert_queries.experts(spark, folder), ["k_order"], view.ORDER)
+
+    whole, parts = in_parts_and_whole(spark, folder, monkeypatch, make)
+    assert whole == parts
+
+
+def test_consolidation_in_parts(spark, folder, monkeypatch):
+    """Group sizes come from the scan that fills by barcode, also for runs that go over tasks."""
+    def make(df, folder):
+        return consolidate.consolidate_coordinates(df, geo_queries.areas(spark, folder), view.ORDER, F.lit("x")).quarantine
+
+    whole, parts = in_parts_and_whole(spark, folder, monkeypatch, make)
+    assert whole == parts and whole
+
+
+def test_sizes_of_groups_from_a_scan(spark):
+    rows = spark.range(50_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), F.lit(None).cast("string").alias("x"))
+    sized = groups.crossfill(rows, ["k"], ["x"], ["id"], sizes="n").groupBy("k").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
+    assert sized.count() == 51 and sized.filter("low <> rows or high <> rows").count() == 0
+
+
+def test_expert_file_is_read_once(spark):
+    """The size of a group is known when it is merged: it needs no join beforehand."""
+    text = "genus specific_epithet recorded_by prefix colnum sufix colnum_full det_by country_iso3 locality barcode"
+    rows = [(i, *("x" if c != "specific_epithet" else e for c in text.split()), 1900, 2000 + i, k) for i, e, k in ((1, "sp. alba", "a"), (2, "sp. alba", "b"), (3, "sp.", "b"))]
+    made = spark.createDataFrame(rows, "k_order long, " + ", ".join(f"{c} string" for c in text.split()) + ", col_year int, det_year int, country string")
+    code, done = counted(spark, F.col("locality"))
+    made = made.withColumn("locality", code).withColumns({"ddlat": F.lit(1.0), "ddlong": F.lit(2.0), "expert_det": F.lit("E")})
+    out = dedup.dedup_raw(made, ["recorded_by", "country"], ["k_order"], expert_file=True).clean
+    assert sorted((r.country, r.specific_epithet) for r in out.collect()) == [("a", "sp. alba"), ("b", "alba")]
+    assert done.value == 3
